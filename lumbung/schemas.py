@@ -27,12 +27,18 @@ def _schema(required: str = "", **columns: T.DataType) -> T.StructType:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Columns, natural key, optional unique key and partition columns of one table."""
+    """Columns, natural key, further unique keys, partitioning and column defaults of a table.
+
+    `surrogate` names a generated key: a hash of the natural key, so it is the same in every
+    run. A column `loaded_at` defaults to the time of the load.
+    """
 
     schema: T.StructType
     key: tuple[str, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()
     partition_by: tuple[str, ...] = ()
+    surrogate: str | None = None
+    defaults: tuple[tuple[str, str], ...] = ()
 
     @property
     def required(self) -> list[str]:
@@ -44,6 +50,7 @@ STAGING_TABLES = {
         _schema(
             staging_key=LONG, variable_id=STRING, vervar_id=STRING, region_id=STRING,
             year=INT, value=VALUE, table_id=STRING, loaded_at=STAMP,
+            period_type=STRING, source_key=LONG, doc=STRING, place=INT,
         )
     ),
     "domain_regions": TableSpec(
@@ -84,6 +91,7 @@ DIMENSIONS = {
         ),
         key=("indicator_key",),
         unique=(("indicator_code", "indicator_name"),),
+        defaults=(("aggregation_method", "SUM"),),
     ),
     "dim_date": TableSpec(
         _schema(
@@ -92,6 +100,7 @@ DIMENSIONS = {
             month_name=STRING, period_type=STRING,
         ),
         key=("date_key",),
+        defaults=(("period_type", "YEAR"),),
     ),
     "dim_dataset": TableSpec(
         _schema(
@@ -99,6 +108,7 @@ DIMENSIONS = {
             subject=STRING, available_years=STRING, source_system=STRING,
         ),
         key=("table_id",),
+        defaults=(("source_system", "BPS"),),
     ),
     "dim_glossary": TableSpec(
         _schema(
@@ -131,18 +141,20 @@ FACTS = {
         _schema(
             "date_key region_key indicator_key",
             fact_key=LONG, date_key=INT, region_key=STRING, indicator_key=STRING,
-            value=VALUE, source_key=STRING, loaded_at=STAMP, year=INT,
+            value=VALUE, source_key=LONG, loaded_at=STAMP, year=INT,
         ),
         key=ECONOMIC_GRAIN,
+        surrogate="fact_key",
         partition_by=("year",),
     ),
     "fact_trade": TableSpec(
         _schema(
             trade_key=LONG, date_key=INT, product_key=STRING, country_key=STRING,
             port_key=STRING, trade_type=STRING, value_usd=MONEY, net_weight_kg=MONEY,
-            source_key=STRING, loaded_at=STAMP, year=INT,
+            source_key=LONG, loaded_at=STAMP, year=INT,
         ),
         key=TRADE_GRAIN,
+        surrogate="trade_key",
         partition_by=("year",),
     ),
 }
