@@ -20,7 +20,10 @@ PARTITIONS = ("source", "dataset", "year", "month", "day")
 # File name and path pattern of the plain tree.
 PLAIN_FILE = "response.json"
 _PLAIN_PATH = r"([^/]+)/([^/]+)/(\d{4})/(\d{2})/(\d{2})/response\.json$"
-_PARTITIONED_PATH = r"source=([^/]+)/dataset=([^/]+)/year=(\d+)/month=(\d+)/day=(\d+)/[^/]+$"
+_FILE_SCHEMA = (
+    "path string, modificationTime timestamp, length long, content binary, "
+    "source string, dataset string, year int, month int, day int"
+)
 
 
 def land_responses(
@@ -100,18 +103,18 @@ def list_landed(
     spark: SparkSession, base: str, source: str | None = None, plain_tree: bool = False
 ) -> DataFrame:
     """Landed files in path order, found without reading their content."""
+    reader = spark.read.format("binaryFile")
     try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", PLAIN_FILE if plain_tree else "part-*")
-            .load(base)
-            .select(F.col("path").alias("doc"))
-        )
+        if plain_tree:
+            files = reader.load(base, recursiveFileLookup=True, pathGlobFilter=PLAIN_FILE)
+            placed = files.select(
+                F.col("path").alias("doc"), *_path_parts(F.col("path"), _PLAIN_PATH)
+            )
+        else:
+            files = reader.schema(_FILE_SCHEMA).load(base)
+            placed = files.select(F.col("path").alias("doc"), *PARTITIONS)
     except AnalysisException as error:
         return _empty_if_missing(spark, error, LISTING_SCHEMA)
-    pattern = _PLAIN_PATH if plain_tree else _PARTITIONED_PATH
-    placed = files.select("doc", *_path_parts(F.col("doc"), pattern))
     if source is not None:
         placed = placed.where(F.col("source") == source)
     return placed.orderBy("doc")

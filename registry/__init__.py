@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("mart_queries", "analysis_queries", "serving_queries")
+MODULES = ("source_queries", "mart_queries", "analysis_queries", "serving_queries")
 
 
 def load_all() -> ModuleType:

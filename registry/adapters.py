@@ -333,15 +333,22 @@ def keyed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(
             F.sort_array(F.collect_list(F.struct("stem", "value"))),
             lambda c: F.array(
-                F.struct(F.concat(c["stem"], F.lit("61")), (c["value"] / 2).cast(VALUE)),
-                F.struct(F.concat(c["stem"], F.lit("63")), c["value"]),
-                F.struct(F.concat(c["stem"], F.lit("6")), c["value"]),
+                *[
+                    F.struct(
+                        F.concat(c["stem"], F.lit(period)).alias("key"), value.alias("value")
+                    )
+                    for period, value in (
+                        ("61", (c["value"] / 2).cast(VALUE)), ("63", c["value"]), ("6", c["value"]),
+                    )
+                ]
             ),
         )
     )
     years = F.transform(
         F.sort_array(F.collect_set("year")),
-        lambda y: F.struct((y - 1900).alias("val"), y.cast("string").alias("label")),
+        lambda y: F.struct(
+            F.lpad((y - 1900).cast("string"), 3, "0").alias("val"), y.cast("string").alias("label")
+        ),
     )
     brand = F.col("indicator_key")
     body = F.struct(
@@ -352,7 +359,7 @@ def keyed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("var"),
         F.array(F.struct(F.lit("000").alias("val"), F.lit("all").alias("label"))).alias("turvar"),
-        F.transform("years", lambda y: F.struct(F.lpad(y["val"].cast("string"), 3, "0").alias("val"), y["label"].alias("label"))).alias("tahun"),
+        F.col("years").alias("tahun"),
         F.array(
             *[F.struct(F.lit(i).alias("val"), F.lit(l).alias("label")) for i, l in PERIOD_TYPES.items()]
         ).alias("turtahun"),
