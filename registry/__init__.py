@@ -5,7 +5,10 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("source_queries", "mart_queries", "analysis_queries", "serving_queries")
+MODULES = (
+    "source_queries", "quality_queries", "model_queries", "load_queries", "mart_queries",
+    "analysis_queries", "serving_queries",
+)
 
 
 def load_all() -> ModuleType:

@@ -315,6 +315,13 @@ def paired_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def four_digit_code(region: str) -> Column:
+    """Region code of the keyed responses: the nation key counted from 1000."""
+    return (F.col(region).cast("int") + 1000).cast("string")
+
+
+FOUR_DIGIT_CODE = "CAST(CAST(region_key AS INTEGER) + 1000 AS VARCHAR)"
+
 # Period type ids and labels of the keyed responses.
 PERIOD_TYPES = {"61": "Semester 1", "63": "Annual"}
 
@@ -327,7 +334,7 @@ def keyed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     number = F.lpad(_number("indicator_key"), 3, "0")
     year = F.lpad((F.col("year") - 1900).cast("string"), 3, "0")
-    stem = F.concat(F.lpad("region_key", 4, "0"), number, F.lit("000"), year)
+    stem = F.concat(four_digit_code("region_key"), number, F.lit("000"), year)
     cells = economic_fact(spark, sf_dir).select("indicator_key", "year", stem.alias("stem"), "value")
     pairs = F.flatten(
         F.transform(
@@ -354,7 +361,7 @@ def keyed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(
         F.array(
             F.struct(
-                brand.alias("val"), F.upper(brand).alias("label"), F.lit("USD").alias("unit"),
+                number.alias("val"), F.upper(brand).alias("label"), F.lit("USD").alias("unit"),
                 F.lit("Trade").alias("subj"), F.lit("parts").alias("def"),
             )
         ).alias("var"),
@@ -395,6 +402,29 @@ def trade_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def port_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response per port: a record per year, country and flow of all products together.
+
+    A response is as long as the years times the nations.
+    """
+    record = F.struct(
+        F.col("trade_type").alias("jenis"), F.lit("ALL").alias("kode_barang"),
+        F.lit("All products").alias("nama_barang"), F.col("country_key").alias("kode_negara"),
+        F.concat(F.lit("Nation "), "country_key").alias("nama_negara"),
+        F.col("port_key").alias("kode_pelabuhan"), F.col("year").cast("string").alias("periode"),
+        F.col("usd").cast("string").alias("nilai"), F.col("kg").cast("string").alias("berat_bersih"),
+    )
+    return (
+        trade_fact(spark, sf_dir)
+        .groupBy(
+            F.floor(F.col("date_key") / 10000).alias("year"), "country_key", "port_key", "trade_type"
+        )
+        .agg(F.sum("value_usd").alias("usd"), F.sum("net_weight_kg").alias("kg"))
+        .groupBy(F.col("port_key").alias("doc"))
+        .agg(F.to_json(F.struct(F.collect_list(record).alias("data"))).alias("body"))
+    )
+
+
 TRADE_LINES = """
 lines AS (
     SELECT l_orderkey || '/' || l_linenumber AS doc,

@@ -249,7 +249,8 @@ def l15_dataset(spark, sf_dir):
                p_brand AS table_code, 'Values of ' || p_brand AS table_name, 'Annual' AS frequency
         FROM part GROUP BY p_brand
         UNION ALL
-        SELECT p_brand, '/keyed', p_brand, NULL, upper(p_brand), NULL FROM part GROUP BY p_brand
+        SELECT p_brand, '/keyed', LPAD(regexp_extract(p_brand, '([0-9]+)$', 1), 3, '0'), NULL,
+               upper(p_brand), NULL FROM part GROUP BY p_brand
     )""",
 )
 def t01(spark, sf_dir):
@@ -269,7 +270,9 @@ def both_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "t02_staged_variables",
-    """SELECT p_brand || form AS doc, 0 AS position, p_brand AS variable_id,
+    """SELECT p_brand || form AS doc, 0 AS position,
+              CASE form WHEN '/wide' THEN p_brand
+                   ELSE LPAD(regexp_extract(p_brand, '([0-9]+)$', 1), 3, '0') END AS variable_id,
               upper(p_brand) AS variable_name, variable_description
     FROM (SELECT DISTINCT p_brand FROM part),
          (VALUES ('/wide', NULL), ('/keyed', 'parts')) AS f(form, variable_description)""",
@@ -316,7 +319,7 @@ _NUMBER = "LPAD(regexp_extract(indicator_key, '([0-9]+)$', 1), 3, '0')"
 @register(
     "t06_decode_key",
     f"""WITH {ECONOMIC_FACT}
-    SELECT LPAD(region_key, 4, '0') AS region, {_NUMBER} AS variable, '000' AS vervar,
+    SELECT {adapters.FOUR_DIGIT_CODE} AS region, {_NUMBER} AS variable, '000' AS vervar,
            LPAD(CAST(year - 1900 AS VARCHAR), 3, '0') AS year, period
     FROM e_fact, (VALUES ('61'), ('63')) AS p(period)""",
 )
@@ -333,7 +336,7 @@ def t06(spark, sf_dir):
     "t07_keyed_observations",
     f"""WITH {ECONOMIC_FACT}
     SELECT indicator_key AS doc, {_NUMBER} AS variable_id, '000' AS vervar_id,
-           LPAD(region_key, 4, '0') AS region_id, year,
+           {adapters.FOUR_DIGIT_CODE} AS region_id, year,
            CAST(CASE period_type WHEN 'Annual' THEN value
                      ELSE CAST(value / 2 AS DECIMAL(20,6)) END AS DOUBLE) AS value,
            period_type
