@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,3 +85,19 @@ def listed(column: Column, wanted: str | Sequence[object] | None) -> Column:
         return F.lit(True)
     items = wanted.split(",") if isinstance(wanted, str) else list(wanted)
     return column.isin([item.strip() if isinstance(item, str) else item for item in items])
+
+
+def constant_rows(
+    spark: SparkSession, names: Sequence[str], rows: Sequence[Sequence[str | int | None]]
+) -> DataFrame:
+    """A few constant rows as expressions, whose size Catalyst knows and broadcasts."""
+    structs = [
+        F.struct(
+            *[
+                (F.lit(v).cast("long") if isinstance(v, int) else F.lit(v).cast("string")).alias(n)
+                for n, v in zip(names, row)
+            ]
+        )
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.functions.columns import match_name, numeric, period_date_key, year_date_key
+from lumbung.functions.columns import (
+    constant_rows,
+    match_name,
+    numeric,
+    period_date_key,
+    year_date_key,
+)
 from lumbung.schemas import DIMENSIONS, MONEY
 
 # The calendar that a valid period may lie in.
@@ -94,12 +100,14 @@ def calendar(spark: SparkSession, period_type: str = "YEAR") -> DataFrame:
     """Every YEAR, QUARTER or MONTH of the valid range, without reading any data."""
     if period_type == "YEAR":
         return _date_rows(
-            spark.range(FIRST_YEAR, LAST_YEAR + 1).select(F.col("id").cast("int").alias("year"))
+            spark.range(FIRST_YEAR, LAST_YEAR + 1, 1, 1).select(
+                F.col("id").cast("int").alias("year")
+            )
         )
     step = {"QUARTER": 3, "MONTH": 1}[period_type]
     month = F.col("id").cast("int")
     first = F.make_date(F.floor(month / 12).cast("int"), month % 12 + 1, F.lit(1))
-    dated = spark.range(FIRST_YEAR * 12, (LAST_YEAR + 1) * 12, step).select(
+    dated = spark.range(FIRST_YEAR * 12, (LAST_YEAR + 1) * 12, step, 1).select(
         first.alias("full_date"), F.date_format(first, "yyyyMMdd").alias("date_key")
     )
     return _calendar_columns(dated, period_type)
@@ -118,10 +126,8 @@ def dim_region_for_domain(spark: SparkSession, domain: str, regions: DataFrame |
 
     Without a region list a domain other than the national one gets a placeholder row.
     """
-    national = spark.createDataFrame(
-        [(NATIONAL_CODE, NATIONAL_NAME, NATIONAL_NAME)],
-        "region_code string, region_name string, province_name string",
-    )
+    names = ("region_code", "region_name", "province_name")
+    national = constant_rows(spark, names, [(NATIONAL_CODE, NATIONAL_NAME, NATIONAL_NAME)])
     if regions is not None:
         listed = regions.where(F.col("region_code") != NATIONAL_CODE).select(
             F.col("region_code").cast("string").alias("region_code"),
@@ -130,10 +136,8 @@ def dim_region_for_domain(spark: SparkSession, domain: str, regions: DataFrame |
         )
         national = national.unionByName(listed)
     elif domain and domain != NATIONAL_CODE:
-        fallback = spark.createDataFrame(
-            [(str(domain), f"Region {domain}")], "region_code string, region_name string"
-        )
-        national = national.unionByName(fallback, allowMissingColumns=True)
+        fallback = constant_rows(spark, names, [(str(domain), f"Region {domain}", None)])
+        national = national.unionByName(fallback)
     return build_dim_region(national)
 
 
@@ -231,7 +235,7 @@ def _code_dimension(records: DataFrame, entity: str) -> DataFrame:
 
 
 def build_dim_trade_flow(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRADE_FLOWS, "trade_flow string, flow_name string")
+    return constant_rows(spark, ("trade_flow", "flow_name"), TRADE_FLOWS)
 
 
 # Facts

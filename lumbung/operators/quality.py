@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.functions.columns import numeric
+from lumbung.functions.columns import constant_rows, numeric
 from lumbung.schemas import TableSpec
 
-RESULT_SCHEMA = "check string, status string, bad_rows long, details string"
+RESULT_COLUMNS = ("check", "status", "bad_rows", "details")
 
 # What is checked unless the caller says otherwise, and the valid years.
 REQUIRED_COLUMNS = ("variable_id", "region_id", "year", "value")
@@ -47,7 +47,7 @@ def validate(
     missing = [column for column in required if column not in df.columns]
     if missing:
         failed = ("required_columns", "FAIL", len(missing), f"missing columns {missing}")
-        return spark.createDataFrame([*first, failed], RESULT_SCHEMA)
+        return constant_rows(spark, RESULT_COLUMNS, [*first, failed])
     first.append(
         ("required_columns", "PASS", 0, f"all required columns present: {list(required)}")
     )
@@ -67,9 +67,14 @@ def validate(
         lambda c: (F.col("_rows") > 0) | (c["check"] == "empty_dataset"),
     )
     result = counters.select(F.inline(kept))
-    if allowed_regions is not None and "region_id" in df.columns:
+    if _given(allowed_regions) and "region_id" in df.columns:
         result = result.unionByName(region_check(df, allowed_regions))
-    return spark.createDataFrame(first, RESULT_SCHEMA).unionByName(result)
+    return constant_rows(spark, RESULT_COLUMNS, first).unionByName(result)
+
+
+def _given(allowed: DataFrame | Sequence[str] | None) -> bool:
+    """Whether regions are restricted; an empty list restricts nothing."""
+    return isinstance(allowed, DataFrame) or bool(allowed)
 
 
 def _weighted(condition: Column) -> Column:
@@ -197,7 +202,7 @@ def _negative_check() -> Column:
 def region_check(rows: DataFrame, allowed: DataFrame | Sequence[str]) -> DataFrame:
     """Rows whose region is not allowed, with the first offending codes in code order.
 
-    A NULL region is an offender; an empty allowed list and an empty dataset give no check.
+    A NULL region is an offender; an empty dataset gives no check.
     """
     by_region = rows.groupBy(F.col("region_id").cast("string").alias("region_id")).agg(
         F.count(F.lit(1)).alias("_n")
@@ -207,8 +212,6 @@ def region_check(rows: DataFrame, allowed: DataFrame | Sequence[str]) -> DataFra
         marked = by_region.join(codes.withColumn("_known", F.lit(True)), "region_id", "left")
         marked = marked.withColumn("_known", F.coalesce("_known", F.lit(False)))
     else:
-        if not allowed:
-            return rows.sparkSession.createDataFrame([], RESULT_SCHEMA)
         known = F.col("region_id").isin([str(code) for code in allowed])
         marked = by_region.withColumn("_known", F.coalesce(known, F.lit(False)))
     # The offenders to show are the smallest codes: a bounded top list, not a collected set.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions.columns import change_ratio_pct, growth_pct
 from lumbung.functions.ranking import GROUP_LIMIT, rank_desc
-from lumbung.plans.marts import dates_per_year, regional_observations
+from lumbung.plans.marts import regional_observations, rows_per_year
 from lumbung.schemas import EconomicStar
 
 # The regions of the comparison table and its column names.
@@ -93,9 +93,7 @@ def latest_regional_ranking(
     latest = observed.where(F.col("year") == latest_year(star)).select(
         "year", "region_name", "indicator_name", "value"
     )
-    bound = (
-        star.dim_region.count() * dates_per_year(star.dim_date) * _keys_per_name(star.dim_indicator)
-    )
+    bound = rows_per_year(star, group_limit) * _keys_per_name(star.dim_indicator)
     ranked = rank_desc(latest, ["indicator_name"], "value", "regional_rank", bound, group_limit)
     return _report(ranked, ordered, "indicator_name", F.col("value").desc_nulls_first())
 

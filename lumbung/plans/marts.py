@@ -31,10 +31,17 @@ def _with_growth(df: DataFrame, keys: list[str], value: str, previous: str, grow
     )
 
 
-def dates_per_year(dim_date: DataFrame) -> int:
-    """Most date keys that one calendar year has; 1 for annual data."""
-    widest = dim_date.groupBy("year").count().agg(F.max("count")).first()[0]
-    return widest or 0
+def rows_per_year(star: EconomicStar, group_limit: int) -> int:
+    """Upper bound of the fact rows that one indicator has in one year.
+
+    The fact has one row per date, region and indicator. A year has at most 366 dates; only
+    where that bound is above the limit are the dates of the widest year counted.
+    """
+    regions = star.dim_region.count()
+    if regions * 366 <= group_limit:
+        return regions * 366
+    per_year = star.dim_date.groupBy("year").count()
+    return regions * (per_year.agg(F.max("count")).first()[0] or 0)
 
 
 def indicator_trend(star: EconomicStar) -> DataFrame:
@@ -76,12 +83,10 @@ def regional_growth(star: EconomicStar) -> DataFrame:
 
 def regional_performance(star: EconomicStar, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Rank of each region within year and indicator, with growth within the region."""
-    # The fact has one row per date, region and indicator, so a year and indicator holds at
-    # most this many rows.
-    bound = star.dim_region.count() * dates_per_year(star.dim_date)
     ranked = rank_desc(
         regional_growth(star),
-        ["year", "indicator_key"], "value", "regional_rank", bound, group_limit,
+        ["year", "indicator_key"], "value", "regional_rank",
+        rows_per_year(star, group_limit), group_limit,
     )
     return ranked.select(
         "year", "region_key", "region_name", "indicator_key", "indicator_name", "value",

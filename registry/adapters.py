@@ -7,15 +7,26 @@ supplier nation and line status.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lumbung.functions.storage import scratch_path
 from lumbung.operators import model
 from lumbung.schemas import MONEY, VALUE, EconomicStar, TradeStar
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables; its footer is read for the schema once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _orders_by_nation(spark: SparkSession, sf_dir: str, *when: Column) -> DataFrame:
@@ -29,15 +40,13 @@ def _orders_by_nation(spark: SparkSession, sf_dir: str, *when: Column) -> DataFr
 
 def economic_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders_by_nation(spark, sf_dir, F.year("o_orderdate").alias("year"))
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", F.col("l_extendedprice").cast(VALUE).alias("price")
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("year", "c_nationkey", "p_brand")
-        .agg(F.sum("price").cast(VALUE).alias("value"))
+        .agg(F.sum(F.col("l_extendedprice").cast(VALUE)).cast(VALUE).alias("value"))
         .select(
             (F.col("year") * 10000 + 101).alias("date_key"),
             F.col("c_nationkey").cast("string").alias("region_key"),
@@ -87,6 +96,22 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A table written once, for queries that pass over it more than once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_star(spark: SparkSession, sf_dir: str) -> EconomicStar:
+    star = economic_star(spark, sf_dir)
+    return replace(
+        star,
+        fact=stored(star.fact, "fact"),
+        dim_indicator=stored(star.dim_indicator, "indicators"),
+    )
+
+
 def economic_star(spark: SparkSession, sf_dir: str) -> EconomicStar:
     return EconomicStar(
         fact=economic_fact(spark, sf_dir),
@@ -240,7 +265,9 @@ def region_codes(spark: SparkSession, sf_dir: str) -> Column:
     return keys.select(F.transform("k", lambda k: k.cast("string")).alias("codes")).scalar()
 
 
-def wide_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_responses(
+    spark: SparkSession, sf_dir: str, fact: DataFrame | None = None
+) -> DataFrame:
     """One response per indicator, one row per year, one value per region.
 
     A row has one place per nation and a response one row per year, whatever the data size;
@@ -248,7 +275,7 @@ def wide_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cells = F.map_from_entries(F.collect_list(F.struct("region_key", F.col("value").cast("string"))))
     yearly = (
-        economic_fact(spark, sf_dir)
+        (economic_fact(spark, sf_dir) if fact is None else fact)
         .groupBy("indicator_key", "year")
         .agg(cells.alias("cells"))
         .withColumn("codes", region_codes(spark, sf_dir))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lumbung.plans import analytics
-from registry.adapters import ECONOMIC, OBSERVED, economic_star, growth_sql
+from registry.adapters import ECONOMIC, OBSERVED, economic_star, growth_sql, stored_star
 from registry.catalog import register
 
 # What the one-indicator analyses are asked about.
@@ -69,7 +69,7 @@ def a03(spark, sf_dir):
     FROM obs WHERE year = (SELECT MAX(year) FROM e_fact)""",
 )
 def a04(spark, sf_dir):
-    return analytics.latest_regional_ranking(economic_star(spark, sf_dir))
+    return analytics.latest_regional_ranking(stored_star(spark, sf_dir))
 
 
 @register(
@@ -135,7 +135,7 @@ def a08(spark, sf_dir):
     FROM obs WHERE year >= (SELECT MAX(year) - 4 FROM e_fact)""",
 )
 def a09(spark, sf_dir):
-    return analytics.recent_years(economic_star(spark, sf_dir))
+    return analytics.recent_years(stored_star(spark, sf_dir))
 
 
 @register(

@@ -222,7 +222,7 @@ def landed_everything(spark: SparkSession, sf_dir: str) -> str:
     }
     for source, responses in sources.items():
         rows = responses.select(
-            F.lit(source).alias("source"), F.col("doc").alias("dataset"), DAY.alias("landed_on"), "body"
+            F.lit(source).alias("source"), F.col("doc").alias("dataset"), F.lit(DAY).alias("landed_on"), "body"
         )
         landing.land_responses(rows, base)
     return base

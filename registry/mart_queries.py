@@ -12,6 +12,7 @@ from registry.adapters import (
     TRADE_FACT,
     economic_star,
     growth_sql,
+    stored_star,
     trade_star,
 )
 from registry.catalog import register
@@ -195,7 +196,7 @@ def m04(spark, sf_dir):
         ON b.year = t.year AND b.indicator_key = t.indicator_key AND b.from_bottom = 1""",
 )
 def m05(spark, sf_dir):
-    return marts.growth_divergence(economic_star(spark, sf_dir))
+    return marts.growth_divergence(stored_star(spark, sf_dir))
 
 
 @register("m06_trade_trend", f"WITH {TRADE_TREND_SQL} SELECT * FROM trade_trend")

@@ -145,7 +145,7 @@ def q10(spark, sf_dir):
 )
 def q11(spark, sf_dir):
     """Against a region dimension that lacks the last nations."""
-    star = adapters.economic_star(spark, sf_dir)
+    star = adapters.stored_star(spark, sf_dir)
     regions = star.dim_region.where(F.col("region_key").cast("int") < 20)
     return quality.referential_integrity(
         star.fact,
@@ -186,7 +186,7 @@ def q12(spark, sf_dir):
     UNION ALL SELECT 'dim_indicator', COUNT(DISTINCT p_brand), 'PASS' FROM part""",
 )
 def q13(spark, sf_dir):
-    star = adapters.economic_star(spark, sf_dir)
+    star = adapters.stored_star(spark, sf_dir)
     tables = {
         "fact_economic": star.fact,
         "dim_date": model.build_dim_date(star.fact),
@@ -198,9 +198,10 @@ def q13(spark, sf_dir):
 
 def _fact_and_staged(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The fact from the tables, and the same observations staged from their responses."""
-    parsed = parsers.parse_statistics(adapters.wide_responses(spark, sf_dir))
+    fact = adapters.stored(adapters.economic_fact(spark, sf_dir), "fact")
+    parsed = parsers.parse_statistics(adapters.wide_responses(spark, sf_dir, fact))
     staged = staging.observations(parsed, adapters.region_codes(spark, sf_dir))
-    return adapters.economic_fact(spark, sf_dir), staged.where(F.col("value").isNotNull())
+    return fact, adapters.stored(staged.where(F.col("value").isNotNull()), "staged")
 
 
 @register(

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from lumbung.plans import marts, pipeline, serving
-from lumbung.operators import model
 from pyspark.sql import functions as F
+
+from lumbung.operators import model
+from lumbung.plans import marts, pipeline, serving
+from lumbung.sources import responses as parsers
 from registry.adapters import (
     ECONOMIC,
+    GLOSSARY_SQL,
     dataset_responses,
-    economic_star,
     economic_fact,
+    economic_star,
     glossary_responses,
     indicators,
+    stored,
     trade_star,
-    GLOSSARY_SQL,
 )
-from lumbung.sources import responses as parsers
 from registry.catalog import register
 from registry.mart_queries import (
     BRIDGE_SQL,
@@ -322,4 +324,4 @@ def r14(spark, sf_dir):
         "year", F.col("region_key").alias("region_id"), "value",
         F.struct("year", "region_key").alias("ordinal"),
     )
-    return pipeline.extraction_summary(data)
+    return pipeline.extraction_summary(stored(data, "observations"))

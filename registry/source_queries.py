@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,17 +19,17 @@ from registry import adapters
 from registry.adapters import ECONOMIC, ECONOMIC_FACT, GLOSSARY_SQL, TRADE_LINES
 from registry.catalog import register
 
-DAY = F.make_date(F.lit(2024), F.lit(1), F.lit(8))
+DAY = datetime.date(2024, 1, 8)
 
 
 def landed_wide(spark: SparkSession, sf_dir: str) -> str:
     """Land the wide responses and the region lists in a new folder."""
     base = scratch_path(spark, "landing")
     statistics = adapters.wide_responses(spark, sf_dir).select(
-        F.lit("dynamic_data").alias("source"), F.col("doc").alias("dataset"), DAY.alias("landed_on"), "body"
+        F.lit("dynamic_data").alias("source"), F.col("doc").alias("dataset"), F.lit(DAY).alias("landed_on"), "body"
     )
     regions = adapters.region_responses(spark, sf_dir).select(
-        "source", "dataset", DAY.alias("landed_on"), "body"
+        "source", "dataset", F.lit(DAY).alias("landed_on"), "body"
     )
     landing.land_responses(statistics.unionByName(regions), base)
     return base
@@ -48,7 +50,7 @@ def l01(spark, sf_dir):
     # Landing the same day again replaces, it does not add.
     again = adapters.region_responses(spark, sf_dir)
     landing.land_responses(
-        again.select("source", "dataset", DAY.alias("landed_on"), "body"), base
+        again.select("source", "dataset", F.lit(DAY).alias("landed_on"), "body"), base
     )
     landed = landing.read_landed(spark, base)
     return landed.groupBy("source").agg(F.count("body").alias("responses"), F.max("day").alias("day"))
