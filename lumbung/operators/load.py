@@ -48,6 +48,7 @@ class Merge:
         self.columns = [c for c in source.columns if c in spec.schema.names]
         self.others = [c for c in self.columns if c not in self.key]
         self.update = self.others if update is None else list(update)
+        self.kept = [c for c in self.others if c not in self.update]
         # Without an order, equal keys are decided by their values.
         order = F.struct(*self.others) if ordinal is None else ordinal
         order = F.col(order) if isinstance(order, str) else order
@@ -67,7 +68,7 @@ class Merge:
             rows = self.source.where(~any_null(self.key))
         present = F.lit(True).alias("_present")
         return rows.groupBy(*self.key).agg(
-            F.min_by(F.struct(present, *self.others), "_order").alias("_first"),
+            F.min_by(F.struct(present, *self.kept), "_order").alias("_first"),
             F.max_by(F.struct(present, *self.update), "_order").alias("_last"),
             F.count(F.lit(1)).alias("_n"),
         )
@@ -115,13 +116,14 @@ class Merge:
 
     def _fresh(self, field: T.StructField) -> Column:
         """Value of a column in a newly inserted row."""
-        if field.name in self.key:
-            return F.col(field.name)
-        if field.name in self.update:
-            return F.col(f"_last.{field.name}")
-        if field.name in self.columns:
-            return F.col(f"_first.{field.name}")
-        return self._generated(field)
+        given = field.name in self.columns
+        return self.batch_value(field.name) if given else self._generated(field)
+
+    def batch_value(self, name: str) -> Column:
+        """What a reduced batch row says about a column."""
+        if name in self.key:
+            return F.col(name)
+        return F.col(f"_last.{name}" if name in self.update else f"_first.{name}")
 
     def _generated(self, field: T.StructField) -> Column:
         if field.name == self.spec.surrogate:
@@ -254,7 +256,7 @@ class Warehouse:
         added = 0 if merge.keyed_only else self._insert(merge.keyless_rows(), table, spec)
         partition = spec.partition_by[0]
         # At most one row per calendar year.
-        touched = [row[0] for row in batch.select(f"_first.{partition}").distinct().collect()]
+        touched = [row[0] for row in batch.select(merge.batch_value(partition)).distinct().collect()]
         if not touched:
             return added
         known = F.col(partition).isin([value for value in touched if value is not None])

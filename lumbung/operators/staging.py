@@ -44,26 +44,32 @@ def _filled(array: str) -> Column:
     return F.coalesce(F.size(array), F.lit(0)) > 0
 
 
-def table_metadata(parsed: DataFrame) -> DataFrame:
-    """One row per response: its table block, else its first variable, else NULLs."""
-    table = F.col("tabel")
-    # An absent block and one without any known field both fall through.
-    has_table = F.coalesce(*[table[name] for name in ("id", "kode", "nama", "subjek", "satuan", "periode")]).isNotNull()
-    first = F.get("var", F.lit(0))
+# Our column, field of the table block, field of the first variable.
+METADATA_FIELDS = (
+    ("table_id", "id", "val"),
+    ("table_code", "kode", None),
+    ("table_name", "nama", "label"),
+    ("subject", "subjek", "subj"),
+    ("unit", "satuan", "unit"),
+    ("frequency", "periode", None),
+)
+
+
+def _metadata() -> dict[str, Column]:
+    """Table block if it has any known field, else the first variable, else NULLs."""
+    table, first = F.col("tabel"), F.get("var", F.lit(0))
+    has_table = F.coalesce(*[table[field] for _, field, _ in METADATA_FIELDS]).isNotNull()
+    return {
+        name: F.when(has_table, table[field])
+        .otherwise(F.lit(None).cast("string") if other is None else first[other])
+        .alias(name)
+        for name, field, other in METADATA_FIELDS
+    }
 
-    def pick(from_table: str, from_variable: str | None) -> Column:
-        other = F.lit(None) if from_variable is None else first[from_variable]
-        return F.when(has_table, table[from_table]).otherwise(other)
 
-    return parsed.select(
-        "doc",
-        pick("id", "val").alias("table_id"),
-        pick("kode", None).cast("string").alias("table_code"),
-        pick("nama", "label").alias("table_name"),
-        pick("subjek", "subj").alias("subject"),
-        pick("satuan", "unit").alias("unit"),
-        pick("periode", None).cast("string").alias("frequency"),
-    )
+def table_metadata(parsed: DataFrame) -> DataFrame:
+    """One row per response with what it says about its table."""
+    return parsed.select("doc", *_metadata().values())
 
 
 def _variable_defs() -> Column:
@@ -198,8 +204,9 @@ def observations(
         .withColumn("_vervars", F.transform(_vervar_defs(), lambda v: v["id"]))
         .withColumn("_years", _labels("tahun"))
         .withColumn("_periods", _labels("turtahun"))
+        .withColumn("table_id", _metadata()["table_id"])
         .select(
-            "doc", *others, "_codes", "_variable", "_vervars", "_years", "_periods",
+            "doc", *others, "table_id", "_codes", "_variable", "_vervars", "_years", "_periods",
             F.posexplode(_cells()).alias("_place", "_cell"),
         )
     )
@@ -223,6 +230,7 @@ def observations(
         whole_year(year).alias("year"),
         numeric(F.col("_cell.value"), VALUE).alias("value"),
         F.when(keyed, _label_or_id(F.col("_periods"), part["period"])).alias("period_type"),
+        "table_id",
         F.struct(F.col("doc"), F.col("_place").alias("place")).alias("ordinal"),
     )
 

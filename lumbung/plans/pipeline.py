@@ -58,7 +58,10 @@ def run_pipeline(
     Raises QualityError before anything reaches the warehouse layer. A missing region list
     leaves regions NULL, which the gate rejects; missing metadata leaves its dimensions empty.
     """
-    landed = latest_landed(landing.read_landed(spark, landing_dir, plain_tree=plain_tree))
+    landed = latest_landed(
+        landing.read_landed(spark, landing_dir, plain_tree=plain_tree),
+        landing.list_landed(spark, landing_dir, plain_tree=plain_tree),
+    )
     regions = domain_regions(landed, domain)
     warehouse.create_tables()
 
@@ -66,7 +69,7 @@ def run_pipeline(
         landed.where(F.col("source") == STATISTICS).select("doc", "body"), ordered_codes(regions)
     )
     observed = parsers.select_observations(staged.data, variables, periods)
-    data = write_staging(warehouse, observed, staged.metadata)
+    data = write_staging(warehouse, observed)
     warnings = quality.gate(quality.mapping_check(data))
     checked = data.select(
         "variable_id", "vervar_id", "region_id", "year", "value", "period_type"
@@ -87,13 +90,17 @@ def run_pipeline(
     return PipelineResult(data.count(), warnings, counts, loaded)
 
 
-def latest_landed(landed: DataFrame) -> DataFrame:
-    """The responses of the latest day of every source and dataset."""
-    day = F.struct("year", "month", "day")
-    newest = landed.groupBy("source", "dataset").agg(F.max(day).alias("_newest"))
-    return (
-        landed.join(newest, ["source", "dataset"]).where(day == F.col("_newest")).drop("_newest")
+def latest_landed(landed: DataFrame, listing: DataFrame) -> DataFrame:
+    """The responses of the latest day of every source and dataset.
+
+    The days come from the file listing, which reads no content.
+    """
+    newest = (
+        listing.groupBy("source", "dataset")
+        .agg(F.max(F.struct("year", "month", "day")).alias("_newest"))
+        .select("source", "dataset", "_newest.*")
     )
+    return landed.join(newest, list(landing.PARTITIONS), "left_semi")
 
 
 def domain_regions(landed: DataFrame, domain: str) -> DataFrame:
@@ -113,9 +120,9 @@ def ordered_codes(regions: DataFrame) -> Column:
     return regions.agg(F.nullif(codes, F.array().cast("array<string>"))).scalar()
 
 
-def write_staging(warehouse: Warehouse, observed: DataFrame, metadata: DataFrame) -> DataFrame:
+def write_staging(warehouse: Warehouse, observed: DataFrame) -> DataFrame:
     """Store staged observations, so that the gate and the loads read them instead of JSON."""
-    rows = observed.join(metadata.select("doc", "table_id"), "doc", "left").select(
+    rows = observed.select(
         F.xxhash64("doc", "ordinal.place").alias("staging_key"),
         "variable_id", "vervar_id", "region_id", "year", "value", "table_id",
         F.current_timestamp().alias("loaded_at"),
@@ -167,8 +174,11 @@ def load_fact_economic(warehouse: Warehouse, data: DataFrame) -> int:
 
 
 def load_trade(spark: SparkSession, warehouse: Warehouse, landed: DataFrame) -> dict[str, int]:
-    records = parsers.trade_records(_of(landed, TRADE)).withColumns(
-        {"ordinal": F.struct("doc", "position"), "source_key": F.xxhash64("doc")}
+    # Stored, so that the four loads below do not parse the responses again.
+    parsed = parsers.trade_records(_of(landed, TRADE)).withColumn("source_key", F.xxhash64("doc"))
+    warehouse.load(parsed, "staging", "trade_records", "replace")
+    records = warehouse.table("staging", "trade_records").withColumn(
+        "ordinal", F.struct("doc", "position")
     )
     fact = model.build_fact_trade(records)
     products = records.select(

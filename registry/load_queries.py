@@ -266,7 +266,7 @@ def k11(spark, sf_dir):
     house = new_warehouse(spark, "k11")
     landed = landing.read_landed(spark, landed_wide(spark, sf_dir), "dynamic_data")
     staged = staging.stage(landed.select("doc", "body"), adapters.region_codes(spark, sf_dir))
-    data = pipeline.write_staging(house, staged.data, staged.metadata)
+    data = pipeline.write_staging(house, staged.data)
     pipeline.load_fact_economic(house, data.where(F.col("value").isNotNull()))
     fact = house.table("warehouse", "fact_economic")
     traced = pipeline.trace(fact, data).join(landed.select("doc", "dataset"), "doc")

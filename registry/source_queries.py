@@ -346,7 +346,7 @@ def t06(spark, sf_dir):
 )
 def t07(spark, sf_dir):
     parsed = parsers.parse_statistics(adapters.keyed_responses(spark, sf_dir))
-    return staging.observations(parsed).drop("ordinal")
+    return staging.observations(parsed).drop("ordinal", "table_id")
 
 
 _WIDE = f"""

@@ -120,7 +120,9 @@ def test_only_the_latest_day_of_a_dataset_is_loaded(spark, tmp_path):
     base = str(tmp_path / "landing")
     land(spark, base, [("domain", "prov", "[1]"), ("glossary", "a", "1")], dt.date(2023, 12, 31))
     land(spark, base, [("domain", "prov", "[2]")], dt.date(2024, 1, 1))
-    latest = pipeline.latest_landed(landing.read_landed(spark, base))
+    latest = pipeline.latest_landed(
+        landing.read_landed(spark, base), landing.list_landed(spark, base)
+    )
     assert sorted(rows(latest, "source", "year")) == [("domain", 2024), ("glossary", 2023)]
 
 
