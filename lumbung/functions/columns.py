@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 # all of which a plain cast to DOUBLE would take.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Fixed pattern: the whitespace a text strip removes, Unicode spaces included.
-EDGE_SPACE_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters a text strip removes, Unicode spaces included.
+EDGE_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Wide enough for 100 times the difference of two national totals (20 integer digits),
 # narrow enough that the quotient keeps ten decimals before it is rounded to two.
@@ -37,7 +41,7 @@ def growth_status(growth: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, EDGE_SPACE_PATTERN, "")
+    return F.btrim(text, F.lit(EDGE_SPACES))
 
 
 def match_name(text: Column) -> Column:
@@ -54,24 +58,36 @@ def first_filled(*candidates: Column) -> Column:
 def numeric(value: Column, kind: T.DataType) -> Column:
     """Lenient number parsing: whatever is not a number, or does not fit, becomes NULL."""
     text = value.cast("string")
+    if isinstance(kind, T.DecimalType):
+        # Unlike DOUBLE, DECIMAL takes nothing but numbers.
+        return text.try_cast(kind)
     return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast(kind))
 
 
 def whole_year(value: Column) -> Column:
     """Year as INT; text that is no whole number becomes NULL."""
     number = numeric(value, T.DecimalType(20, 6))
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    other_form = F.when(number == F.floor(number), number.try_cast("int"))
+    return F.coalesce(value.try_cast("int"), other_form)
+
+
+def _date_as_key(day: Column) -> Column:
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
 
 
 def period_date_key(period: Column) -> Column:
-    """YYYY, YYYY-MM or YYYY-MM-DD to YYYYMMDD; missing parts are 1, no period is 0."""
+    """YYYY, YYYY-MM or YYYY-MM-DD to YYYYMMDD; missing parts are 1, no period is 0.
+
+    Periods that are no date of the calendar keep their numbers.
+    """
     parts = F.split(strip(period), "-")
 
     def part(position: int) -> Column:
         text = F.get(parts, F.lit(position))
         return F.when(text.isNull(), F.lit(1)).otherwise(text.try_cast("int"))
 
-    key = F.get(parts, F.lit(0)).try_cast("int") * 10000 + part(1) * 100 + part(2)
+    numbers = F.get(parts, F.lit(0)).try_cast("int") * 10000 + part(1) * 100 + part(2)
+    key = F.coalesce(_date_as_key(period.try_cast("date")), numbers)
     return F.when(period.isNull() | (period == ""), F.lit(0)).otherwise(key).cast("int")
 
 

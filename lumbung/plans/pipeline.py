@@ -99,6 +99,8 @@ def latest_landed(landed: DataFrame, listing: DataFrame) -> DataFrame:
         listing.groupBy("source", "dataset")
         .agg(F.max(F.struct("year", "month", "day")).alias("_newest"))
         .select("source", "dataset", "_newest.*")
+        # A filter that keeps every row: it lets Spark prune the partitions of other days.
+        .where(F.col("year") > 0)
     )
     return landed.join(newest, list(landing.PARTITIONS), "left_semi")
 

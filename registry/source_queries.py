@@ -404,7 +404,7 @@ def t11(spark, sf_dir):
         adapters.wide_responses(spark, sf_dir), adapters.region_codes(spark, sf_dir)
     )
     described = staged.variables.join(staged.metadata, "doc").select(
-        "variable_id", "variable_name", "unit", "table_id"
+        "variable_id", "variable_name", "unit"
     )
     return (
         staged.data.where(F.col("value").isNotNull())
