@@ -15,7 +15,7 @@ from lumbung.functions.columns import (
     period_date_key,
     year_date_key,
 )
-from lumbung.schemas import DIMENSIONS, MONEY
+from lumbung.schemas import DIMENSIONS, MONEY, SOURCE_SYSTEM
 
 # The calendar that a valid period may lie in.
 FIRST_YEAR, LAST_YEAR = 1900, 2200
@@ -26,8 +26,7 @@ NATIONAL_CODE, NATIONAL_NAME = "0000", "INDONESIA"
 # Trade flow codes and names.
 TRADE_FLOWS = [("ekspor", "Ekspor"), ("impor", "Impor")]
 
-# Origin of dataset metadata and endpoint of glossary entries.
-SOURCE_SYSTEM = "BPS"
+# Fixed value: endpoint of glossary entries.
 GLOSSARY_ENDPOINT = "glosarium"
 
 ENRICHED = ("concept", "definition", "classification", "measure", "data_source")

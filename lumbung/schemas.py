@@ -15,6 +15,9 @@ STAMP = T.TimestampType()
 VALUE = T.DecimalType(20, 6)
 MONEY = T.DecimalType(20, 2)
 
+# Fixed value: the origin of dataset metadata.
+SOURCE_SYSTEM = "BPS"
+
 LAYERS = ("raw", "staging", "warehouse", "mart")
 
 
@@ -108,7 +111,7 @@ DIMENSIONS = {
             subject=STRING, available_years=STRING, source_system=STRING,
         ),
         key=("table_id",),
-        defaults=(("source_system", "BPS"),),
+        defaults=(("source_system", SOURCE_SYSTEM),),
     ),
     "dim_glossary": TableSpec(
         _schema(

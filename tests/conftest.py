@@ -18,7 +18,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{scratch}/spark-warehouse")
         .config("spark.checkpoint.dir", f"{scratch}/shared")
