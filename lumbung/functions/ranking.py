@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumbung.functions.storage import ensure_checkpoint_dir
+from lumbung.functions.storage import materialize
 
 # Rows of one group that a single window task may hold.
 GROUP_LIMIT = 2_000_000
@@ -35,15 +35,14 @@ def rank_desc(
 
 def _rank_by_slots(df: DataFrame, keys: list[str], by: str, name: str) -> DataFrame:
     # The input is read twice and the slots by two branches: each is computed and written once.
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
+    df = materialize(df, "ranked")
     # Ties collapse in the map-side combine, so one repeated value costs one row.
     tallies = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     descending = F.col(by).desc_nulls_first()
     slots = tallies.repartitionByRange(*keys, descending).withColumn(
         "_slot", F.spark_partition_id()
     )
-    slots = slots.checkpoint()
+    slots = materialize(slots, "slots")
 
     before = Window.partitionBy(*keys, "_slot").orderBy(descending)
     inside = slots.withColumn(

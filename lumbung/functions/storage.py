@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,13 +22,17 @@ def shared_dir(spark: SparkSession) -> str:
     return fresh
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the Spark context at the shared folder unless it already has one."""
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once under the shared folder and read back.
+
+    Cuts the lineage like a checkpoint. As a Parquet table it also keeps column pruning, and its
+    size is known when the plans that read it choose their joins.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.functions.storage import ensure_checkpoint_dir
+from lumbung.functions.storage import materialize
 from lumbung.schemas import (
     LAYERS,
     STAGING_TABLES,
@@ -52,7 +52,8 @@ class Merge:
         # Without an order, equal keys are decided by their values.
         order = F.struct(*self.others) if ordinal is None else ordinal
         order = F.col(order) if isinstance(order, str) else order
-        self.source = source.select(*self.columns, order.alias("_order"))
+        typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in self.columns]
+        self.source = source.select(*typed, order.alias("_order"))
         # A key that is NOT NULL throughout leaves no rows outside the keyed merge.
         self.keyed_only = set(self.key) <= set(spec.required)
 
@@ -246,8 +247,7 @@ class Warehouse:
             return self._insert(rows, table, spec)
 
         # The batch is computed once: its partition values and its rows are both read.
-        ensure_checkpoint_dir(self.spark)
-        batch = merge.batch().checkpoint()
+        batch = materialize(merge.batch(), "batch")
         if not spec.partition_by:
             rows = merge.merged_rows(self.table("warehouse", table), batch)
             if not merge.keyed_only:

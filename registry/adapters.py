@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.functions.storage import scratch_path
+from lumbung.functions.storage import materialize
 from lumbung.operators import model
 from lumbung.schemas import MONEY, VALUE, EconomicStar, TradeStar
 
@@ -96,19 +96,12 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """A table written once, for queries that pass over it more than once."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def stored_star(spark: SparkSession, sf_dir: str) -> EconomicStar:
     star = economic_star(spark, sf_dir)
     return replace(
         star,
-        fact=stored(star.fact, "fact"),
-        dim_indicator=stored(star.dim_indicator, "indicators"),
+        fact=materialize(star.fact, "fact"),
+        dim_indicator=materialize(star.dim_indicator, "indicators"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.functions.storage import materialize
 from lumbung.operators import model, quality, staging
 from lumbung.schemas import DIMENSIONS
 from lumbung.sources import responses as parsers
@@ -198,10 +199,10 @@ def q13(spark, sf_dir):
 
 def _fact_and_staged(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The fact from the tables, and the same observations staged from their responses."""
-    fact = adapters.stored(adapters.economic_fact(spark, sf_dir), "fact")
+    fact = materialize(adapters.economic_fact(spark, sf_dir), "fact")
     parsed = parsers.parse_statistics(adapters.wide_responses(spark, sf_dir, fact))
     staged = staging.observations(parsed, adapters.region_codes(spark, sf_dir))
-    return fact, adapters.stored(staged.where(F.col("value").isNotNull()), "staged")
+    return fact, materialize(staged.where(F.col("value").isNotNull()), "staged")
 
 
 @register(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lumbung.functions.storage import materialize
 from lumbung.operators import model
 from lumbung.plans import marts, pipeline, serving
 from lumbung.sources import responses as parsers
@@ -15,7 +16,6 @@ from registry.adapters import (
     economic_star,
     glossary_responses,
     indicators,
-    stored,
     trade_star,
 )
 from registry.catalog import register
@@ -324,4 +324,4 @@ def r14(spark, sf_dir):
         "year", F.col("region_key").alias("region_id"), "value",
         F.struct("year", "region_key").alias("ordinal"),
     )
-    return pipeline.extraction_summary(stored(data, "observations"))
+    return pipeline.extraction_summary(materialize(data, "observations"))
