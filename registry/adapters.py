@@ -241,8 +241,13 @@ x_fact AS (
 FLOW_NAME = "CASE trade_type WHEN 'ekspor' THEN 'Ekspor' WHEN 'impor' THEN 'Impor' END"
 
 
+def rounded_sql(expression: str) -> str:
+    """Two decimals as NUMERIC, which unlike DOUBLE has no negative zero."""
+    return f"CAST(CAST(ROUND({expression}, 2) AS DECIMAL(20,2)) AS DOUBLE)"
+
+
 def growth_sql(current: str, previous: str) -> str:
-    return f"CAST(ROUND(({current} - {previous}) * 100 / NULLIF({previous}, 0), 2) AS DOUBLE)"
+    return rounded_sql(f"({current} - {previous}) * 100 / NULLIF({previous}, 0)")
 
 
 # Responses in JSON, spelled from the same tables

@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 from lumbung.plans import analytics
-from registry.adapters import ECONOMIC, OBSERVED, economic_star, growth_sql, stored_star
+from registry.adapters import (
+    ECONOMIC,
+    OBSERVED,
+    economic_star,
+    growth_sql,
+    rounded_sql,
+    stored_star,
+)
 from registry.catalog import register
 
 # What the one-indicator analyses are asked about.
@@ -158,7 +165,7 @@ def a10(spark, sf_dir):
     )
     SELECT year, region_name, indicator_name, CAST(value AS DOUBLE) AS value,
            {growth_sql('value', 'p1')} AS growth_pct,
-           ROUND((value - p1) * 100 / NULLIF(p1, 0) - (p1 - p2) * 100 / NULLIF(p2, 0), 2)
+           {rounded_sql("(value - p1) * 100 / NULLIF(p1, 0) - (p1 - p2) * 100 / NULLIF(p2, 0)")}
                AS acceleration_pct
     FROM lagged WHERE p1 IS NOT NULL AND p2 IS NOT NULL""",
 )
