@@ -8,13 +8,38 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, language_id, line_dedup, minhash, packing, secret_scan
+from lumbung.llm import (
+    bpe, embeddings, language_id, line_dedup, minhash, packing, quality, secret_scan, spotsigs, warc,
+)
+from lumbung.functions.storage import materialize
 from lumbung.llm.common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = materialize(quality.statistics(documents(spark, sf_dir)), "statistics")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score(stats, quality.fit(stats, labels))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = warc.capture_history(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return entries.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
+        "captured_at", "slice", "place",
+    )
+
+
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(documents(spark, sf_dir))
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document after line dedup: what is left of it, and how much went."""
     before = documents(spark, sf_dir).select("doc_id", "text", F.length("text").alias("chars_before"))
@@ -68,6 +93,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op3_warc": op3_warc,
+    "op4_spotsigs": op4_spotsigs,
+    "op7_embeddings": op7_embeddings,
     "op2_line_dedup": op2_line_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_packing": op6_packing,
