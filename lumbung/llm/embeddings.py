@@ -49,7 +49,7 @@ class Settings:
 
     @staticmethod
     def calibrated(
-        rows: int, threshold: float = 0.9, recall: float = 0.995, per_list: int = 24, count: int = 2
+        rows: int, threshold: float = 0.9, recall: float = 0.995, per_list: int = 40, count: int = 2
     ) -> Settings:
         """The shortest tail with which a pair at `threshold` collides `count` times with `recall`.
 
@@ -60,7 +60,7 @@ class Settings:
         window = 3.0 * math.sqrt(2 * (1 - threshold))
         expected = 8.0
         while True:
-            lines = max(512, 1 << math.ceil(math.log2(max(1.0, rows * expected / per_list))))
+            lines = max(512, math.ceil(rows * expected / per_list))
             chance = expected / lines
             tail = NormalDist().inv_cdf(1 - chance)
             both = _both(tail, window, threshold)
@@ -135,14 +135,14 @@ def _compare(rows: pa.Table, width: int, settings: Settings) -> tuple[np.ndarray
     flat = rows.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, width).astype(np.float64)
     units = flat / np.linalg.norm(flat, axis=1, keepdims=True)
     lists = rows.column("lines").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
+    begins = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    sizes = np.diff(begins)
     values = rows.column("values").combine_chunks().flatten().to_numpy()
     used, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
     owner = np.repeat(np.arange(len(ids)), sizes)
     held = np.full((len(ids), len(used)), np.nan, np.float32)
     held[owner, place] = values
     one, two = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    earlier = used < line
     links = np.zeros(len(ids), np.int64)
     edges: list[tuple[int, int]] = []
     root: dict[int, int] = {}
@@ -156,9 +156,10 @@ def _compare(rows: pa.Table, width: int, settings: Settings) -> tuple[np.ndarray
         others = two[two > at] if i == j else two
         if not len(others):
             continue
-        # A window centred at the query on every line; NaN, no tail, never collides.
-        met = np.abs(held[others] - held[at]) <= settings.window
-        first = ~met[:, earlier].any(axis=1) & met[:, used == line].any(axis=1)
+        # A window centred at the query on each of its lines; NaN, no tail, never collides.
+        mine = place[begins[at] : begins[at + 1]]
+        met = np.abs(held[np.ix_(others, mine)] - held[at, mine]) <= settings.window
+        first = ~met[:, used[mine] < line].any(axis=1) & met[:, used[mine] == line].any(axis=1)
         others = others[first & (met.sum(axis=1) >= settings.count)]
         if not len(others):
             continue
