@@ -82,7 +82,7 @@ def repeated_chunks(
     def read(batch: pa.RecordBatch) -> dict[str, object]:
         out: list[tuple] = []
         for doc_id, version, text, spans in zip(
-            *(batch.column(name).to_pylist() for name in ("doc_id", "version", "text", "spans"))
+            *(batch.column(name).to_pylist() for name in ("doc_id", "version", "text", "_lb_spans"))
         ):
             for span in spans:
                 content = text[span["start"] : span["end"]].encode()
@@ -124,10 +124,10 @@ def remove_chunks(docs: DataFrame, removed: DataFrame, drop_emptied: bool = Fals
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
     columns = docs.columns
-    joined = _with_lists(docs.select("*", _version().alias("version")), lists, "left")
+    joined = _with_lists(docs.withColumn("_lb_version", _version()), lists, "left", "_lb_version")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+        texts, spans = batch.column("text").to_pylist(), batch.column("_lb_spans").to_pylist()
         new = [without(text, held) if held else text for text, held in zip(texts, spans)]
         keep = [not (drop_emptied and held and not text.strip()) for text, held in zip(new, spans)]
         arrays = []
@@ -168,10 +168,12 @@ def _version() -> Column:
     return F.xxhash64("text")
 
 
-def _with_lists(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    named = lists.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "spans")
-    return texts.join(
-        named,
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")),
-        how,
-    ).drop("_id", "_version")
+def _with_lists(
+    texts: DataFrame, lists: DataFrame, how: str, version: str = "version"
+) -> DataFrame:
+    """`texts` with the spans of each row, as `_lb_spans`."""
+    named = lists.select(
+        F.col("doc_id").alias("_lb_id"), F.col("version").alias("_lb_hash"), F.col("spans").alias("_lb_spans")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_lb_id")) & (F.col(version) == F.col("_lb_hash"))
+    return texts.join(named, same, how).drop("_lb_id", "_lb_hash")

@@ -316,7 +316,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows and columns of `docs`, one document of each group: that with the smallest doc_id."""
     others = materialize(
-        near_duplicates(docs, settings).where("NOT kept").select(F.col("doc_id").alias("_other")).distinct(),
+        near_duplicates(docs, settings).where("NOT kept").select(F.col("doc_id").alias("_lb_other")).distinct(),
         "copies",
     )
-    return docs.join(others, F.col("doc_id") == F.col("_other"), "left_anti")
+    return docs.join(others, F.col("doc_id") == F.col("_lb_other"), "left_anti")

@@ -197,40 +197,41 @@ _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
 def scan(
-    docs: DataFrame, rules: tuple[Rule, ...] = RULES, postings: DataFrame | None = None
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, postings: DataFrame | None = None,
+    into: str = "secret_spans",
 ) -> DataFrame:
-    """`docs` with a column `secret_spans`: (start, rank, kind, end), ordered by start, then rule.
+    """`docs` with a column `into`: (start, rank, kind, end), ordered by start, then rule.
 
     `postings` may be an index that was built before over the same documents.
     """
     if postings is None:
         postings = materialize(build_index(docs, rules), "postings")
     chosen = candidates(postings, rules).select(
-        F.col("doc_id").alias("_id"), F.col("rules").alias("_rules")
+        F.col("doc_id").alias("_lb_id"), F.col("rules").alias("_lb_rules")
     )
-    joined = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_lb_id")), "left")
     text = F.coalesce("text", F.lit(""))
     each = []
     for order, rule in enumerate(rules):
         spans = spans_of(rule, order, text)
         if trigram_query(rule.pattern):
-            spans = F.when(F.array_contains("_rules", rule.name), spans).otherwise(
+            spans = F.when(F.array_contains("_lb_rules", rule.name), spans).otherwise(
                 F.array().cast(_SPANS)
             )
         else:
             spans = F.when(F.regexp_like(text, F.lit(rule.java)), spans).otherwise(F.array().cast(_SPANS))
         each.append(spans)
     return joined.select(
-        *[docs[name] for name in docs.columns], F.array_sort(F.concat(*each)).alias("secret_spans")
+        *[docs[name] for name in docs.columns], F.array_sort(F.concat(*each)).alias(into)
     )
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """`docs` with every secret replaced by `mark` (overlapping spans by one), n_chars set anew."""
     columns = docs.columns
-    found = scan(docs, rules)
+    found = scan(docs, rules, into="_lb_spans")
     state = F.aggregate(
-        "secret_spans",
+        "_lb_spans",
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
         lambda s, span: F.when(
             span["start"] >= s["at"],
@@ -251,12 +252,12 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secre
             F.array_join(s["parts"], ""), F.substring(F.col("text"), s["at"] + 1, F.length("text"))
         ),
     )
-    text = F.when(F.size("secret_spans") > 0, state).otherwise(F.col("text"))
-    changed = found.withColumn("_text", text)
+    text = F.when(F.size("_lb_spans") > 0, state).otherwise(F.col("text"))
+    changed = found.withColumn("_lb_text", text)
     return changed.select(
         *[
-            F.col("_text").alias("text") if name == "text"
-            else F.when(F.size("secret_spans") > 0, F.length("_text").cast(docs.schema[name].dataType))
+            F.col("_lb_text").alias("text") if name == "text"
+            else F.when(F.size("_lb_spans") > 0, F.length("_lb_text").cast(docs.schema[name].dataType))
             .otherwise(F.col(name)).alias(name) if name == "n_chars"
             else F.col(name)
             for name in columns
