@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,82 @@ def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) ->
     )
 
 
+def in_squares(
+    rows: DataFrame, key: str, member: str, size: str, side: int, compare: Callable[[pa.Table], tuple],
+    schema: str,
+) -> DataFrame:
+    """Compare the members of groups of any size with each other, in squares inside tasks.
+
+    `size` is the group's number of rows. Members are dealt into blocks of about `side`, and every
+    pair of blocks is a square with the columns of `rows` and `i`, `j` (its blocks) and `own` (the
+    row's block). `compare` takes a square as a table and returns the columns of `schema`. A task
+    holds one square at a time, whatever the group's size.
+    """
+    ship(rows.sparkSession)
+    arrow = _arrow_schema(rows.sparkSession, schema)
+    blocks = F.ceil(F.col(size) / side).cast("int")
+    squares = (
+        rows.withColumn("blocks", blocks)
+        .withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+        .drop("blocks", "other", size)
+    )
+    marks = (key, "i", "j")
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def done() -> pa.RecordBatch:
+            columns = compare(pa.Table.from_batches(held).combine_chunks())
+            arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
+            return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in marks])
+            starts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            finished = []
+            for begin, end in zip(starts, starts[1:]):
+                mark = tuple(at[:, begin])
+                if mark != last and held:
+                    finished.append(done())
+                    held = []
+                held.append(batch.slice(begin, end - begin))
+                last = mark
+            if finished:
+                yield pa.Table.from_batches(finished).combine_chunks().to_batches()[0] if any(
+                    f.num_rows for f in finished
+                ) else finished[0]
+        if held:
+            yield done()
+
+    return squares.repartition(*marks).sortWithinPartitions(*marks).mapInArrow(over, schema)
+
+
+def spanning(
+    ids: np.ndarray, labels: np.ndarray, one: np.ndarray, two: np.ndarray, same: bool,
+    near: Callable[[int, np.ndarray], Iterator[int]],
+) -> list[tuple[int, int]]:
+    """Links that join the groups `labels` of a square's rows, as few as join them.
+
+    `near(at, others)` yields those of `others` that row `at` links with; it is asked only about
+    rows of other groups, and groups that a link has joined count as one from then on.
+    """
+    labels = np.unique(labels, return_inverse=True)[1]
+    found = []
+    for at in one.tolist():
+        others = two[labels[two] != labels[at]]
+        others = others[others > at] if same else others
+        for other in near(at, others) if len(others) else ():
+            if labels[other] != labels[at]:
+                found.append((int(ids[at]), int(ids[other])))
+                labels[labels == labels[other]] = labels[at]
+    return found
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -5,8 +5,10 @@ space), each a 64-bit hash; a shorter document has one shingle, its whole sequen
 sets fold into one representative first, so exact copies cost one row each. Bands of minima then
 gather representatives: every member of a band's bucket is compared with the bucket's smallest
 member, which is linear in the bucket; buckets whose other members are still in several components
-afterwards have the pairs across components compared in square blocks, inside tasks, on packed
-b-bit signatures. Every link is confirmed on the full sets.
+afterwards have the pairs across components estimated in square blocks, inside tasks, on packed
+b-bit signatures. What the estimates may link becomes a cluster, and the pairs of a cluster that are
+still in several components are compared on the full sets, in square blocks again, of which only the
+links that join components come back. Every link is confirmed on the full sets.
 
 Defined results: NULL or empty texts and texts without words have no shingles and link with nothing.
 Rows that share a doc_id are one document that links where any of its texts does. Rows without a
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions.storage import materialize
-from lumbung.llm.common import components, map_rows, ship
+from lumbung.llm.common import components, in_squares, map_rows, spanning
 
 WORDS = 5
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -166,9 +168,16 @@ def _estimated(pairs: DataFrame, packed: DataFrame, settings: Settings) -> DataF
     return map_rows(pairs.join(left, "a").join(right, "b"), passing, "a long, b long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
+def _linked(x: np.ndarray, y: np.ndarray, settings: Settings) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= settings.percent * (len(x) + len(y) - common)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id and items (shingles) of the documents whose doc_id is in `wanted`.
 
+    The list of ids grows with the table, so it is merged with the documents, never broadcast.
+    """
     def sets(batch: pa.RecordBatch) -> dict[str, object]:
         memo: dict[bytes, int] = {}
         return {
@@ -176,92 +185,76 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFra
             "items": [shingles(text, memo).view(np.int64) for text in batch.column("text").to_pylist()],
         }
 
+    chosen = docs.select("doc_id", "text").join(wanted.distinct().hint("merge"), "doc_id", "left_semi")
+    return map_rows(chosen, sets, "id long, items array<long>")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
+
     def confirm(batch: pa.RecordBatch) -> dict[str, object]:
-        left, right = batch.column("ia"), batch.column("ib")
-        keep = []
-        for x, y in zip(left, right):
-            x, y = x.values.to_numpy(), y.values.to_numpy()
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= settings.percent * (len(x) + len(y) - common))
+        keep = [
+            _linked(x.values.to_numpy(), y.values.to_numpy(), settings)
+            for x, y in zip(batch.column("ia"), batch.column("ib"))
+        ]
         return {name: batch.column(name).filter(pa.array(keep)) for name in ("a", "b")}
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = materialize(
-        map_rows(
-            docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), sets,
-            "id long, items array<long>",
-        ),
-        "sets",
-    )
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    held = materialize(_sets(docs, wanted), "sets")
     left = held.select(F.col("id").alias("a"), F.col("items").alias("ia"))
     right = held.select(F.col("id").alias("b"), F.col("items").alias("ib"))
     return map_rows(pairs.join(left, "a").join(right, "b"), confirm, "a long, b long").distinct()
 
 
-def _across(buckets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of different components within a bucket that the estimate lets pass.
+def _sides(square: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of a square's two blocks, and whether they are the same block."""
+    own = square.column("own").to_numpy()
+    i, j = square.column("i")[0].as_py(), square.column("j")[0].as_py()
+    return np.flatnonzero(own == i), np.flatnonzero(own == j), i == j
 
-    A bucket of any size is cut into squares of `block` members each; a square is compared inside
-    a task, which holds no more than its two sides.
-    """
-    ship(buckets.sparkSession)
+
+def _likely(buckets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) that join whatever the estimate may link across components in a bucket."""
     threshold, minima, bits = settings.percent / 100 - settings.slack, settings.minima, settings.bits
-    n = F.ceil(F.col("n") / settings.block).cast("long")
-    own = F.pmod(F.xxhash64("id"), n)
-    squares = (
-        buckets.select("key", "id", "component", "packed", n.alias("blocks"), own.alias("own"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-            "id", "component", "packed",
-        )
-    )
 
-    def compare(group: list[pa.RecordBatch]) -> list[tuple[int, int]]:
-        rows = pa.Table.from_batches(group)
-        ids, comps, own = (rows.column(c).to_numpy() for c in ("id", "component", "own"))
-        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-        if comps.min() == comps.max():
-            return []
-        bytes_ = _matrix(rows.column("packed").combine_chunks())
-        one, two = (np.flatnonzero(own == i), np.flatnonzero(own == j))
-        found = []
-        for at in one:
-            others = two[comps[two] != comps[at]]
-            others = others[others > at] if i == j else others
-            if len(others):
-                close = others[estimate(bytes_[at], bytes_[others], minima, bits) >= threshold]
-                found += [(int(ids[at]), int(ids[other])) for other in close]
-        return found
-
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            marks = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
-            starts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1), batch.num_rows]
-            out: list[tuple[int, int]] = []
-            for begin, end in zip(starts, starts[1:]):
-                mark = tuple(marks[:, begin])
-                if mark != last and held:
-                    out += compare(held)
-                    held = []
-                held.append(batch.slice(begin, end - begin))
-                last = mark
-            yield _pairs(out)
-        if held:
-            yield _pairs(compare(held))
-
-    sorted_ = squares.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_.mapInArrow(over, "a long, b long").distinct()
-
-
-def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([row[side] for row in rows], pa.int64()) for side in (0, 1)], names=["a", "b"]
-    )
+    def compare(square: pa.Table) -> tuple:
+        labels = square.column("component").to_numpy()
+        if labels.min() == labels.max():
+            return (), ()
+        packed = _matrix(square.column("packed"))
+
+        def near(at: int, others: np.ndarray) -> np.ndarray:
+            return others[estimate(packed[at], packed[others], minima, bits) >= threshold]
+
+        links = spanning(square.column("id").to_numpy(), labels, *_sides(square), near)
+        return [a for a, _ in links], [b for _, b in links]
+
+    found = in_squares(buckets, "key", "id", "n", settings.block, compare, "a long, b long")
+    return found.distinct()
+
+
+def _exact(clusters: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b), confirmed on the full sets, that join components within a cluster."""
+    threshold, minima, bits = settings.percent / 100 - settings.slack, settings.minima, settings.bits
+
+    def compare(square: pa.Table) -> tuple:
+        labels = square.column("component").to_numpy()
+        if labels.min() == labels.max():
+            return (), ()
+        packed = _matrix(square.column("packed"))
+        lists = square.column("items").combine_chunks()
+        values, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        sets = [values[a:b] for a, b in zip(ends, ends[1:])]
+
+        def near(at: int, others: np.ndarray) -> Iterator[int]:
+            likely = estimate(packed[at], packed[others], minima, bits) >= threshold
+            return (int(other) for other in others[likely] if _linked(sets[at], sets[other], settings))
+
+        links = spanning(square.column("id").to_numpy(), labels, *_sides(square), near)
+        return [a for a, _ in links], [b for _, b in links]
+
+    found = in_squares(clusters, "cluster", "id", "n", settings.block, compare, "a long, b long")
+    return found.distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -290,13 +283,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left"
     ).withColumn("component", F.coalesce("component", "doc_id"))
     open_ = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    across = _across(
-        labelled.join(open_.where("x <> y").select("key"), "key", "left_semi")
-        .join(packed, "doc_id")
-        .select("key", F.col("doc_id").alias("id"), "component", "packed", "n"),
-        settings,
+    likely = materialize(
+        _likely(
+            labelled.join(open_.where("x <> y").select("key"), "key", "left_semi")
+            .join(packed, "doc_id")
+            .select("key", F.col("doc_id").alias("id"), "component", "packed", "n"),
+            settings,
+        ),
+        "likely",
+    )
+    # Whatever else may be linked lies within a cluster; clusters are compared on the full sets.
+    clusters = components(likely).withColumnRenamed("component", "cluster")
+    sized = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
+    members = (
+        sized.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        .join(packed.withColumnRenamed("doc_id", "id"), "id")
+        .join(_sets(docs, clusters.select(F.col("id").alias("doc_id"))), "id")
     )
-    more = materialize(_confirmed(materialize(across, "across"), docs, settings), "links")
+    more = materialize(_exact(members, settings), "links")
 
     copies = linked.join(folded, "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     several = copies.groupBy("a").agg(F.min("b").alias("x"), F.max("b").alias("y")).where("x <> y")
