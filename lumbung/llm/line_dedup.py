@@ -171,9 +171,12 @@ def _version() -> Column:
 def _with_lists(
     texts: DataFrame, lists: DataFrame, how: str, version: str = "version"
 ) -> DataFrame:
-    """`texts` with the spans of each row, as `_lb_spans`."""
+    """`texts` with the spans of each row, as `_lb_spans`.
+
+    The lists grow with the table, so they are merged with the texts, never broadcast.
+    """
     named = lists.select(
         F.col("doc_id").alias("_lb_id"), F.col("version").alias("_lb_hash"), F.col("spans").alias("_lb_spans")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_lb_id")) & (F.col(version) == F.col("_lb_hash"))
-    return texts.join(named, same, how).drop("_lb_id", "_lb_hash")
+    return texts.join(named.hint("merge"), same, how).drop("_lb_id", "_lb_hash")
