@@ -78,21 +78,27 @@ def _date_as_key(day: Column) -> Column:
 def period_date_key(period: Column) -> Column:
     """YYYY, YYYY-MM or YYYY-MM-DD to YYYYMMDD; missing parts are 1, no period is 0.
 
-    Periods that are no date of the calendar keep their numbers.
+    Periods that are no date of the calendar keep their numbers. What is no period at all, or has
+    more than four digits for its year, is NULL.
     """
     parts = F.split(strip(period), "-")
 
     def part(position: int) -> Column:
         text = F.get(parts, F.lit(position))
-        return F.when(text.isNull(), F.lit(1)).otherwise(text.try_cast("int"))
-
-    numbers = F.get(parts, F.lit(0)).try_cast("int") * 10000 + part(1) * 100 + part(2)
-    key = F.coalesce(_date_as_key(period.try_cast("date")), numbers)
+        number = text.try_cast("int")
+        return F.when(text.isNull(), F.lit(1)).when(number.between(0, 99), number)
+
+    year = F.get(parts, F.lit(0)).try_cast("int")
+    numbers = F.when(year.between(0, 9999), year) * 10000 + part(1) * 100 + part(2)
+    day = period.try_cast("date")
+    dated = F.when(F.year(day).between(0, 9999), _date_as_key(day))
+    key = F.coalesce(dated, numbers)
     return F.when(period.isNull() | (period == ""), F.lit(0)).otherwise(key).cast("int")
 
 
 def year_date_key(year: Column) -> Column:
-    return (year * 10000 + 101).cast("int")
+    """First day of a year as YYYYMMDD; NULL for a year that has no such key."""
+    return F.when(year.between(-9999, 99_999), year * 10000 + 101).cast("int")
 
 
 def listed(column: Column, wanted: str | Sequence[object] | None) -> Column:

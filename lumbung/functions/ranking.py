@@ -1,4 +1,4 @@
-"""RANK within groups, also for groups too large for one task."""
+"""RANK within groups of any size."""
 
 from __future__ import annotations
 
@@ -7,51 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumbung.functions.storage import materialize
+# Slots that a group's values are cut into; the window over slots has one row for each.
+SLOTS = 64
 
-# Rows of one group that a single window task may hold.
-GROUP_LIMIT = 2_000_000
 
-
-def rank_desc(
-    df: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    name: str,
-    group_bound: int,
-    group_limit: int = GROUP_LIMIT,
-) -> DataFrame:
+def rank_desc(df: DataFrame, keys: Sequence[str], by: str, name: str, slots: int = SLOTS) -> DataFrame:
     """Add RANK() OVER (PARTITION BY keys ORDER BY by DESC NULLS FIRST) as column `name`.
 
-    `group_bound` is a proven upper bound of the rows in one group, such as the size of the
-    dimension the group enumerates. Within the limit the rank is one window; beyond it the
-    groups are cut into range slots, so that no task sees a whole group.
+    Ties collapse in a map-side combine, so one repeated value costs one row. Approximate
+    percentiles, which are mergeable, cut the distinct values of each group into slots; a rank is
+    the rows of the slots before, plus the rank within the slot. Where the cuts lie only decides
+    how even the slots are, never a rank. No job runs while the plan is built.
     """
-    if group_bound <= group_limit:
-        window = Window.partitionBy(*keys).orderBy(F.col(by).desc_nulls_first())
-        return df.withColumn(name, F.rank().over(window))
-    return _rank_by_slots(df, list(keys), by, name)
-
-
-def _rank_by_slots(df: DataFrame, keys: list[str], by: str, name: str) -> DataFrame:
-    # The input is read twice and the slots by two branches: each is computed and written once.
-    df = materialize(df, "ranked")
-    # Ties collapse in the map-side combine, so one repeated value costs one row.
+    keys = list(keys)
     tallies = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-    descending = F.col(by).desc_nulls_first()
-    slots = tallies.repartitionByRange(*keys, descending).withColumn(
-        "_slot", F.spark_partition_id()
+    shares = F.array(*[F.lit(i / slots) for i in range(1, slots)])
+    cuts = tallies.groupBy(*keys).agg(F.percentile_approx(by, shares).alias("_cuts"))
+    above = F.size(F.filter("_cuts", lambda cut: cut > F.col(by)))
+    placed = join_null_safe(tallies, cuts, keys).select(
+        *keys, by, "_n", F.when(F.col(by).isNull(), -1).otherwise(above).alias("_slot")
     )
-    slots = materialize(slots, "slots")
-
-    before = Window.partitionBy(*keys, "_slot").orderBy(descending)
-    inside = slots.withColumn(
+    before = Window.partitionBy(*keys, "_slot").orderBy(F.col(by).desc_nulls_first())
+    inside = placed.withColumn(
         "_inside", F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
     )
-    # At most one row per group and slot: bounded by the number of range partitions.
+    # At most one row per group and slot.
     earlier = Window.partitionBy(*keys).orderBy("_slot")
     offsets = (
-        slots.groupBy(*keys, "_slot")
+        placed.groupBy(*keys, "_slot")
         .agg(F.sum("_n").alias("_rows"))
         .withColumn(
             "_offset",
@@ -59,14 +42,15 @@ def _rank_by_slots(df: DataFrame, keys: list[str], by: str, name: str) -> DataFr
         )
         .drop("_rows")
     )
-    ranks = _join_null_safe(inside, offsets, [*keys, "_slot"]).select(
+    ranks = join_null_safe(inside, offsets, [*keys, "_slot"]).select(
         *keys, by, (F.col("_offset") + F.col("_inside") + 1).cast("int").alias(name)
     )
     # One row per group and value on the right: a hot value is split by the skew join.
-    return _join_null_safe(df, ranks, [*keys, by])
+    return join_null_safe(df, ranks, [*keys, by])
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on `keys` of which NULLs are equal, with the keys of the left side."""
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
-    condition = [left[key].eqNullSafe(renamed[f"_right_{key}"]) for key in keys]
+    condition = [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
     return left.join(renamed, condition).drop(*[f"_right_{key}" for key in keys])

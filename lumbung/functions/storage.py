@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a fresh local one only where it is unset."""
+    """Folder named by spark.checkpoint.dir.
+
+    Where that is unset, a fresh local folder serves a local session; executors on other machines
+    could not see one, so there it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -17,6 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     fresh = tempfile.mkdtemp(prefix="lumbung-")
     spark.sparkContext.setCheckpointDir(fresh)
     return fresh
@@ -27,6 +34,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """The rows written once under the shared folder and read back.
 

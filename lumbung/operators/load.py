@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.functions.storage import materialize
+from lumbung.functions.storage import discard, scratch_path
 from lumbung.schemas import (
     LAYERS,
     STAGING_TABLES,
@@ -18,6 +19,11 @@ from lumbung.schemas import (
     TradeStar,
 )
 
+# Suffix of the next version of a table while it is swapped in.
+_NEXT = "__next"
+# Between the name of a mart and that of one version of it.
+_VERSION = "__v"
+
 WRITE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
 
@@ -182,12 +188,20 @@ class Warehouse:
             raise RuntimeError(f"tables missing in warehouse: {missing}")
 
     def exists(self, layer: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(layer, table))
+        """Whether there is such a table; a swap that broke off half-way is finished first."""
+        if self.spark.catalog.tableExists(self.name(layer, table)):
+            return True
+        following = self.name(layer, table + _NEXT)
+        if not self.spark.catalog.tableExists(following):
+            return False
+        self.spark.sql(f"ALTER TABLE {following} RENAME TO {self.name(layer, table)}")
+        return True
 
     def is_empty(self, layer: str, table: str) -> bool:
         return not self.exists(layer, table) or self.table(layer, table).isEmpty()
 
     def table(self, layer: str, table: str) -> DataFrame:
+        self.exists(layer, table)
         return self.spark.table(self.name(layer, table))
 
     def row_count(self, layer: str, table: str) -> int:
@@ -209,17 +223,41 @@ class Warehouse:
         self._write(df, layer, table, WRITE_MODES[if_exists], partition_by)
 
     def _write(
-        self, df: DataFrame, layer: str, table: str, mode: str, partition_by: Sequence[str] = ()
+        self, df: DataFrame, layer: str, table: str, mode: str, partition_by: Sequence[str] = (),
+        by_partition: bool = True,
     ) -> None:
         writer = df.write.format("parquet").mode(mode)
         if partition_by:
-            # A table property from here on: an overwrite replaces the partitions it has rows for.
-            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+            writer = writer.partitionBy(*partition_by)
+            if by_partition:
+                # A table property from here on: an overwrite replaces the partitions it has rows for.
+                writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.name(layer, table))
 
     def build_mart(self, df: DataFrame, mart: str) -> None:
-        """Replace a mart by the current result of its query."""
-        self.load(df, "mart", mart, "replace")
+        """Replace a mart by the current result of its query.
+
+        A mart is a view of a table that holds one version. The new version is written in full
+        before the view turns to it, so readers always find a whole mart, and a build that breaks
+        off leaves the old one. A mart with a year is partitioned by it.
+        """
+        self.create_schemas(["mart"])
+        name, version = self.name("mart", mart), f"{mart}{_VERSION}{uuid.uuid4().hex}"
+        columns = ", ".join(f"`{column}`" for column in df.columns)
+        partition_by = [c for c in df.columns if c == "year"] if len(df.columns) > 1 else []
+        if partition_by:
+            # One writer for a year, several for a large one.
+            df = df.hint("rebalance", F.col("year"))
+            if "indicator_key" in df.columns:
+                df = df.sortWithinPartitions("year", "indicator_key")
+        self._write(df, "mart", version, "errorifexists", partition_by, by_partition=False)
+        catalog = self.spark.catalog
+        if catalog.tableExists(name) and catalog.getTable(name).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {self.name('mart', version)}")
+        for table in catalog.listTables(f"{self.prefix}mart"):
+            if table.name.startswith(f"{mart}{_VERSION}".lower()) and table.name != version.lower():
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name('mart', table.name)}")
 
     def upsert(
         self,
@@ -247,12 +285,22 @@ class Warehouse:
             return self._insert(rows, table, spec)
 
         # The batch is computed once: its partition values and its rows are both read.
-        batch = materialize(merge.batch(), "batch")
+        path = scratch_path(self.spark, "batch")
+        merge.batch().write.parquet(path)
+        try:
+            return self._merge(merge, self.spark.read.parquet(path), table, spec)
+        finally:
+            discard(self.spark, path)
+
+    def _merge(self, merge: Merge, batch: DataFrame, table: str, spec: TableSpec) -> int:
         if not spec.partition_by:
             rows = merge.merged_rows(self.table("warehouse", table), batch)
             if not merge.keyed_only:
                 rows = rows.unionByName(merge.keyless_rows())
-            return self._swap(rows, table)
+            counted = Observation()
+            rows = rows.observe(counted, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).drop("_n")
+            self._swap(rows, "warehouse", table)
+            return counted.get["rows"]
         added = 0 if merge.keyed_only else self._insert(merge.keyless_rows(), table, spec)
         partition = spec.partition_by[0]
         # At most one row per calendar year.
@@ -275,22 +323,20 @@ class Warehouse:
         rows.write.insertInto(name, overwrite=replace)
         return counted.get["rows"]
 
-    def _swap(self, merged: DataFrame, table: str) -> int:
-        """Write the next version beside the table, then put it in its place.
+    def _swap(self, rows: DataFrame, layer: str, table: str) -> None:
+        """Write the next version of an unpartitioned table beside it, then put it in its place.
 
-        The rows exist in full at every moment. After a crash between the two last steps the
-        next version is found under its own name.
+        The rows exist in full at every moment. Stopped between the two last steps, the next
+        version stands under its own name, and `exists` gives it the table's name.
         """
-        counted = Observation()
-        following = f"{table}__next"
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name('warehouse', following)}")
-        rows = merged.observe(counted, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).drop("_n")
-        self._write(rows, "warehouse", following, "errorifexists")
-        self.spark.sql(f"DROP TABLE {self.name('warehouse', table)}")
-        self.spark.sql(
-            f"ALTER TABLE {self.name('warehouse', following)} RENAME TO {self.name('warehouse', table)}"
-        )
-        return counted.get["rows"]
+        current, following = self.name(layer, table), self.name(layer, table + _NEXT)
+        present = self.exists(layer, table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {following}")
+        # Over whatever a write that broke off has left there.
+        self._write(rows, layer, table + _NEXT, "overwrite")
+        if present:
+            self.spark.sql(f"DROP TABLE {current}")
+        self.spark.sql(f"ALTER TABLE {following} RENAME TO {current}")
 
     def economic_star(self) -> EconomicStar:
         return EconomicStar(

@@ -39,13 +39,17 @@ def _require(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of a dimension in order and type; absent ones are NULL."""
+    """Columns of a dimension in order and type; absent ones are NULL.
+
+    An `ordinal`, the place in the source, is carried along for the load.
+    """
     present = set(df.columns)
     return df.select(
         *[
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in DIMENSIONS[table].schema.fields
-        ]
+        ],
+        *_carried(df, "ordinal"),
     )
 
 
@@ -164,6 +168,7 @@ def dim_indicator_from_staged(variables: DataFrame, metadata: DataFrame) -> Data
             F.col("subject").alias("subject_name"),
             "unit",
             "frequency",
+            *_carried(described, "ordinal"),
         )
     )
 
@@ -225,10 +230,11 @@ def build_dim_country(records: DataFrame) -> DataFrame:
 
 
 def _code_dimension(records: DataFrame, entity: str) -> DataFrame:
-    """One row per code; a code seen with several names keeps the greatest one."""
-    code = F.col(f"{entity}_code").cast("string")
+    """One row per code with its last name in source order, the greatest one without an order."""
+    code, name = F.col(f"{entity}_code").cast("string"), F.col(f"{entity}_name")
+    order = F.col("ordinal") if "ordinal" in records.columns else name
     rows = records.groupBy(code.alias(f"{entity}_code")).agg(
-        F.max(f"{entity}_name").alias(f"{entity}_name")
+        F.max_by(name, F.when(name.isNotNull(), order)).alias(f"{entity}_name")
     )
     return _conform(rows.withColumn(f"{entity}_key", F.col(f"{entity}_code")), f"dim_{entity}")
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.functions.columns import constant_rows, numeric
-from lumbung.schemas import TableSpec
+from lumbung.functions.columns import constant_rows, numeric, period_date_key
+from lumbung.schemas import MONEY, TableSpec
 
 RESULT_COLUMNS = ("check", "status", "bad_rows", "details")
 
@@ -274,6 +274,39 @@ def mapping_check(staged: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(check)))
 
 
+def trade_checks(records: DataFrame) -> DataFrame:
+    """Checks of trade records before a load: periods and key columns FAIL, amounts WARN.
+
+    A record whose period has no date key, or that lacks a key column, would be inserted anew by
+    every load.
+    """
+    keys = ("trade_type", "commodity_code", "country_code", "port_code")
+    keyless = F.greatest(F.lit(False), F.lit(False), *[F.col(key).isNull() for key in keys])
+
+    def unread(name: str) -> Column:
+        return F.col(name).isNotNull() & numeric(F.col(name), MONEY).isNull()
+
+    counted = records.agg(
+        F.count_if(period_date_key(F.col("period")).isNull()).alias("periods"),
+        F.count_if(keyless).alias("keys"),
+        F.count_if(unread("value_usd") | unread("net_weight_kg")).alias("amounts"),
+    )
+    checks = [
+        _check(
+            name,
+            F.when(F.col(column) > 0, bad).otherwise("PASS"),
+            F.col(column),
+            F.format_string(f"%d records {what}", F.col(column)),
+        )
+        for name, column, bad, what in (
+            ("trade_period", "periods", "FAIL", "have a period that cannot be read"),
+            ("trade_keys", "keys", "FAIL", "lack a flow, product, country or port"),
+            ("trade_amounts", "amounts", "WARN", "have an amount that is no number"),
+        )
+    ]
+    return counted.select(F.inline(F.array(*checks)))
+
+
 # Warehouse checks
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbung.functions.columns import change_ratio_pct, growth_pct
-from lumbung.functions.ranking import GROUP_LIMIT, rank_desc
-from lumbung.plans.marts import regional_observations, rows_per_year
+from lumbung.functions.ranking import rank_desc
+from lumbung.plans.marts import dated, regional_observations
 from lumbung.schemas import EconomicStar
 
 # The regions of the comparison table and its column names.
@@ -66,8 +66,7 @@ def year_over_year_of(star: EconomicStar, indicator_name: str, ordered: bool = T
 def national_year_over_year(star: EconomicStar, ordered: bool = True) -> DataFrame:
     """Growth of the national total of every indicator."""
     by_key = (
-        star.fact.drop("year")
-        .join(star.dim_date.select("date_key", "year"), "date_key")
+        dated(star.fact, star.dim_date)
         .groupBy("year", "indicator_key")
         .agg(F.sum("value").alias("_value"))
     )
@@ -85,30 +84,25 @@ def national_year_over_year(star: EconomicStar, ordered: bool = True) -> DataFra
     return _report(grown, ordered, "indicator_name", "year")
 
 
-def latest_regional_ranking(
-    star: EconomicStar, ordered: bool = True, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
+def latest_regional_ranking(star: EconomicStar, ordered: bool = True) -> DataFrame:
     """Regions ranked within each indicator in the latest year of the fact."""
     observed = regional_observations(star)
     latest = observed.where(F.col("year") == latest_year(star)).select(
         "year", "region_name", "indicator_name", "value"
     )
-    bound = rows_per_year(star, group_limit) * _keys_per_name(star.dim_indicator)
-    ranked = rank_desc(latest, ["indicator_name"], "value", "regional_rank", bound, group_limit)
+    ranked = rank_desc(latest, ["indicator_name"], "value", "regional_rank")
     return _report(ranked, ordered, "indicator_name", F.col("value").desc_nulls_first())
 
 
-def _keys_per_name(dim_indicator: DataFrame) -> int:
-    """Most indicator keys that share one name."""
-    shared = dim_indicator.groupBy("indicator_name").count().agg(F.max("count")).first()[0]
-    return shared or 0
-
-
 def latest_year(star: EconomicStar) -> Column:
-    """Latest year with a fact row, as a scalar subquery."""
+    """Latest year with a fact row, as a scalar subquery.
+
+    The pairs of date and year are few after a partial aggregate, so the join is over them alone.
+    """
+    keys = [key for key in ("date_key", "year") if key in star.fact.columns]
     return (
-        star.fact.select("date_key", "value")
-        .join(star.dim_date.select("date_key", "year"), "date_key")
+        star.fact.select(*keys).distinct()
+        .join(star.dim_date.select("date_key", "year"), keys)
         .select(F.max("year"))
         .scalar()
     )

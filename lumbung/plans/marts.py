@@ -11,13 +11,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbung.functions.columns import growth_pct
-from lumbung.functions.ranking import GROUP_LIMIT, rank_desc
+from lumbung.functions.ranking import rank_desc
 from lumbung.schemas import EconomicStar, TradeStar
 
 
-def _dated(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Fact rows with the year of their date; rows without a known date drop out."""
-    return fact.drop("year").join(dim_date.select("date_key", "year"), "date_key")
+def dated(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Fact rows with the year of their date; rows without a known date drop out.
+
+    A stored fact is partitioned by the year of its date, so the year is part of the join: a filter
+    on it prunes the fact's partitions. A fact without that column is joined on the date alone.
+    """
+    keys = [key for key in ("date_key", "year") if key in fact.columns]
+    return fact.join(dim_date.select("date_key", "year"), keys)
 
 
 def _with_growth(df: DataFrame, keys: list[str], value: str, previous: str, growth: str) -> DataFrame:
@@ -31,23 +36,10 @@ def _with_growth(df: DataFrame, keys: list[str], value: str, previous: str, grow
     )
 
 
-def rows_per_year(star: EconomicStar, group_limit: int) -> int:
-    """Upper bound of the fact rows that one indicator has in one year.
-
-    The fact has one row per date, region and indicator. A year has at most 366 dates; only
-    where that bound is above the limit are the dates of the widest year counted.
-    """
-    regions = star.dim_region.count()
-    if regions * 366 <= group_limit:
-        return regions * 366
-    per_year = star.dim_date.groupBy("year").count()
-    return regions * (per_year.agg(F.max("count")).first()[0] or 0)
-
-
 def indicator_trend(star: EconomicStar) -> DataFrame:
     """National total per year and indicator with its growth."""
     totals = (
-        _dated(star.fact, star.dim_date)
+        dated(star.fact, star.dim_date)
         .groupBy("year", "indicator_key")
         .agg(F.sum("value").alias("national_value"))
     )
@@ -66,7 +58,7 @@ def indicator_trend(star: EconomicStar) -> DataFrame:
 def regional_observations(star: EconomicStar) -> DataFrame:
     """Fact rows with year, region name and indicator name."""
     return (
-        _dated(star.fact, star.dim_date)
+        dated(star.fact, star.dim_date)
         .select("year", "region_key", "indicator_key", "value")
         .join(star.dim_region.select("region_key", "region_name"), "region_key")
         .join(star.dim_indicator.select("indicator_key", "indicator_name"), "indicator_key")
@@ -81,12 +73,10 @@ def regional_growth(star: EconomicStar) -> DataFrame:
     )
 
 
-def regional_performance(star: EconomicStar, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def regional_performance(star: EconomicStar) -> DataFrame:
     """Rank of each region within year and indicator, with growth within the region."""
     ranked = rank_desc(
-        regional_growth(star),
-        ["year", "indicator_key"], "value", "regional_rank",
-        rows_per_year(star, group_limit), group_limit,
+        regional_growth(star), ["year", "indicator_key"], "value", "regional_rank"
     )
     return ranked.select(
         "year", "region_key", "region_name", "indicator_key", "indicator_name", "value",
@@ -97,7 +87,7 @@ def regional_performance(star: EconomicStar, group_limit: int = GROUP_LIMIT) ->
 def economic_overview(star: EconomicStar) -> DataFrame:
     """National total, growth and number of reporting regions, with indicator context."""
     totals = (
-        _dated(star.fact, star.dim_date)
+        dated(star.fact, star.dim_date)
         .join(star.dim_region.select("region_key"), "region_key", "left_semi")
         .groupBy("year", "indicator_key")
         .agg(
@@ -136,13 +126,18 @@ def growth_divergence(star: EconomicStar) -> DataFrame:
 
     Equal growth is decided by the smaller region key.
     """
-    grown = regional_growth(star).where(F.col("growth_pct").isNotNull())
+    return divergence(indicator_trend(star), regional_growth(star))
+
+
+def divergence(trend: DataFrame, performance: DataFrame) -> DataFrame:
+    """`growth_divergence` from the marts that hold national trend and regional growth."""
+    grown = performance.where(F.col("growth_pct").isNotNull())
     extremes = grown.groupBy("year", "indicator_key").agg(
         F.min(F.struct((-F.col("growth_pct")).alias("order"), "region_key", "region_name")).alias("top"),
         F.min(F.struct(F.col("growth_pct").alias("order"), "region_key", "region_name")).alias("bottom"),
     )
     return (
-        indicator_trend(star)
+        trend
         .join(extremes, ["year", "indicator_key"], "left")
         .select(
             "year", "indicator_key", "indicator_name", "national_value",
@@ -158,7 +153,7 @@ def growth_divergence(star: EconomicStar) -> DataFrame:
 def national_by_method(star: EconomicStar) -> DataFrame:
     """National value by the indicator's declared method: SUM, AVG, or NULL for N/A."""
     totals = (
-        _dated(star.fact, star.dim_date)
+        dated(star.fact, star.dim_date)
         .groupBy("year", "indicator_key")
         .agg(F.sum("value").alias("_sum"), F.avg("value").alias("_avg"))
     )
@@ -176,7 +171,7 @@ def national_by_method(star: EconomicStar) -> DataFrame:
 
 def _trade_sums(star: TradeStar, *keys: str) -> DataFrame:
     return (
-        _dated(star.fact, star.dim_date)
+        dated(star.fact, star.dim_date)
         .groupBy("year", *keys)
         .agg(
             F.sum("value_usd").alias("_usd"),
@@ -220,17 +215,14 @@ def trade_regional(star: TradeStar) -> DataFrame:
     )
 
 
-def trade_commodity(star: TradeStar, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def trade_commodity(star: TradeStar) -> DataFrame:
     """Products ranked by value within year and flow; a NULL total ranks first."""
     sums = (
         _trade_sums(star, "trade_type", "product_key")
         .join(_flows(star), "trade_type")
         .join(star.dim_product, "product_key")
     )
-    ranked = rank_desc(
-        sums, ["year", "trade_flow"], "_usd", "commodity_rank",
-        star.dim_product.count(), group_limit,
-    )
+    ranked = rank_desc(sums, ["year", "trade_flow"], "_usd", "commodity_rank")
     return ranked.select(
         "year", "trade_flow", "product_code", "product_name",
         _or_zero("_usd").alias("total_value_usd"),
@@ -239,17 +231,14 @@ def trade_commodity(star: TradeStar, group_limit: int = GROUP_LIMIT) -> DataFram
     )
 
 
-def trade_partner(star: TradeStar, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def trade_partner(star: TradeStar) -> DataFrame:
     """Countries ranked by value within year and flow; a NULL total ranks first."""
     sums = (
         _trade_sums(star, "trade_type", "country_key")
         .join(_flows(star), "trade_type")
         .join(star.dim_country, "country_key")
     )
-    ranked = rank_desc(
-        sums, ["year", "trade_flow"], "_usd", "partner_rank",
-        star.dim_country.count(), group_limit,
-    )
+    ranked = rank_desc(sums, ["year", "trade_flow"], "_usd", "partner_rank")
     return ranked.select(
         "year", "trade_flow", "country_code", "country_name",
         _or_zero("_usd").alias("total_value_usd"), "partner_rank",

@@ -25,7 +25,6 @@ ECONOMIC_MARTS = {
     "regional_performance": marts.regional_performance,
     "economic_overview": marts.economic_overview,
     "economic_summary": marts.economic_summary,
-    "growth_divergence": marts.growth_divergence,
 }
 TRADE_MARTS = {
     "trade_trend": marts.trade_trend,
@@ -36,12 +35,17 @@ TRADE_MARTS = {
 VERIFIED_TABLES = ("fact_economic", "dim_date", "dim_region", "dim_indicator")
 
 
+# Columns of the record of loaded files; `scope` tells the selections of different runs apart.
+LOADED_FILES = "source_key long, doc string, scope string, loaded_at timestamp"
+
+
 @dataclass
 class PipelineResult:
     staged_rows: int
     warnings: list[str]
     row_counts: dict[str, int]
     loaded: dict[str, int] = field(default_factory=dict)
+    rejected: int = 0
 
 
 def run_pipeline(
@@ -52,42 +56,110 @@ def run_pipeline(
     variables: str | None = None,
     periods: str | None = None,
     plain_tree: bool = False,
+    skip_rejected: bool = False,
 ) -> PipelineResult:
-    """Load the latest landed responses of every dataset and rebuild the marts.
-
-    Raises QualityError before anything reaches the warehouse layer. A missing region list
-    leaves regions NULL, which the gate rejects; missing metadata leaves its dimensions empty.
+    """Load every landed response that no run of this selection has loaded, and rebuild the marts.
+
+    Days are loaded in landing order, so that of equal keys the last landed wins; a response that
+    has landed anew for its day counts as new. Raises QualityError before anything reaches the
+    warehouse layer: also for responses that cannot be parsed, unless `skip_rejected` leaves them
+    out. Either way they stand in the staging table `rejected_responses` with the reason. A missing
+    region list leaves regions NULL, which the gate rejects; missing metadata leaves its dimensions
+    empty. A run that finds nothing new loads nothing.
     """
-    landed = latest_landed(
-        landing.read_landed(spark, landing_dir, plain_tree=plain_tree),
-        landing.list_landed(spark, landing_dir, plain_tree=plain_tree),
-    )
-    regions = domain_regions(landed, domain)
+    landed = landing.read_landed(spark, landing_dir, plain_tree=plain_tree)
+    listing = landing.list_landed(spark, landing_dir, plain_tree=plain_tree)
     warehouse.create_tables()
-
-    staged = staging.stage(
-        landed.where(F.col("source") == STATISTICS).select("doc", "body"), ordered_codes(regions)
-    )
-    observed = parsers.select_observations(staged.data, variables, periods)
-    data = write_staging(warehouse, observed)
-    warnings = quality.gate(quality.mapping_check(data))
-    checked = data.select(
-        "variable_id", "vervar_id", "region_id", "year", "value", "period_type"
-    )
-    warnings += quality.gate(quality.validate(checked, context=f"var={variables}"))
+    scope = f"{domain}|{variables or ''}|{periods or ''}"
+    done = loaded_files(warehouse, scope)
+    waiting = pending(listing, done)
+    todo = of_days(landed, waiting)
+    regions = domain_regions(latest_landed(landed, listing), domain)
+    rejected, broken = check_responses(warehouse, todo, skip_rejected)
+    todo = todo.join(broken, "doc", "left_anti") if rejected else todo
+    # One row per source.
+    new = {row["source"] for row in waiting.select("source").distinct().collect()}
+
+    warnings: list[str] = []
+    loaded: dict[str, int] = {}
+    staged_rows = 0
+    if STATISTICS in new or done.isEmpty():
+        staged = staging.stage(_of(todo, STATISTICS), ordered_codes(regions))
+        observed = parsers.select_observations(staged.data, variables, periods)
+        data = write_staging(warehouse, observed)
+        warnings += quality.gate(quality.mapping_check(data))
+        checked = data.select(
+            "variable_id", "vervar_id", "region_id", "year", "value", "period_type"
+        )
+        warnings += quality.gate(quality.validate(checked, context=f"var={variables}"))
+        records, more = write_trade(warehouse, todo)
+        warnings += more
+        staged_rows = data.count()
+        loaded |= load_economic(spark, warehouse, data, staged, todo, regions, domain, periods)
+    else:
+        records, more = write_trade(warehouse, todo)
+        warnings += more
+        loaded |= load_metadata(warehouse, todo, periods)
+        if GLOSSARY in new:
+            known = warehouse.table("warehouse", "dim_indicator")
+            loaded["dim_indicator"] = warehouse.upsert(enriched(warehouse, known), "dim_indicator")
     for warning in warnings:
         log.warning(warning)
-
-    loaded = load_economic(spark, warehouse, data, staged, landed, regions, domain, periods)
-    loaded |= load_trade(spark, warehouse, landed)
+    loaded |= load_trade(spark, warehouse, records)
     build_marts(warehouse)
+    record_loaded(warehouse, waiting, scope)
     counts = {
         row["table_name"]: row["rows"]
         for row in quality.load_verification(
             spark, {t: warehouse.table("warehouse", t) for t in VERIFIED_TABLES}
         ).collect()
     }
-    return PipelineResult(data.count(), warnings, counts, loaded)
+    return PipelineResult(staged_rows, warnings, counts, loaded, rejected)
+
+
+def loaded_files(warehouse: Warehouse, scope: str | None = None) -> DataFrame:
+    """Files that runs have loaded, by `source_key`; the record outlives the staging tables."""
+    if not warehouse.exists("staging", "loaded_files"):
+        return warehouse.spark.createDataFrame([], LOADED_FILES)
+    files = warehouse.table("staging", "loaded_files")
+    return files if scope is None else files.where(F.col("scope") == scope)
+
+
+def record_loaded(warehouse: Warehouse, files: DataFrame, scope: str) -> None:
+    """Add landed files (doc) to the record; a file that is recorded twice does no harm."""
+    rows = files.select(
+        F.xxhash64("doc").alias("source_key"), "doc", F.lit(scope).alias("scope"),
+        F.current_timestamp().alias("loaded_at"),
+    )
+    warehouse.load(rows, "staging", "loaded_files")
+
+
+def pending(listing: DataFrame, done: DataFrame) -> DataFrame:
+    """Landed files that are not among the loaded ones."""
+    return listing.join(done.select("doc"), "doc", "left_anti")
+
+
+def of_days(landed: DataFrame, files: DataFrame) -> DataFrame:
+    """The responses of the sources, datasets and days of `files`.
+
+    The semi-join is on the partition columns, which lets Spark prune the other days.
+    """
+    days = files.select(*landing.PARTITIONS).distinct().where(F.col("year") > 0)
+    return landed.join(days, list(landing.PARTITIONS), "left_semi")
+
+
+def check_responses(
+    warehouse: Warehouse, responses: DataFrame, skip_rejected: bool
+) -> tuple[int, DataFrame]:
+    """Store which responses cannot be parsed; an error unless they may be skipped."""
+    found = parsers.rejected(responses).select("source", "dataset", "doc", "reason")
+    warehouse.load(found, "staging", "rejected_responses", "replace")
+    broken = warehouse.table("staging", "rejected_responses")
+    count = broken.count()
+    if count and not skip_rejected:
+        shown = [f"{row['doc']} ({row['reason']})" for row in broken.orderBy("doc").take(3)]
+        raise quality.QualityError(f"{count} responses cannot be parsed: {', '.join(shown)}")
+    return count, broken.select("doc")
 
 
 def latest_landed(landed: DataFrame, listing: DataFrame) -> DataFrame:
@@ -135,10 +207,15 @@ def write_staging(warehouse: Warehouse, observed: DataFrame) -> DataFrame:
     )
     warehouse.load(rows, "staging", "dynamic_data", "replace")
     return warehouse.table("staging", "dynamic_data").withColumn(
-        "ordinal", F.struct("doc", "place")
+        "ordinal", landing_order("place")
     )
 
 
+def landing_order(place: str) -> Column:
+    """Source order of rows with a `doc`: by the day it landed, then by file and place in it."""
+    return F.struct(landing.landed_day(F.col("doc")).alias("day"), "doc", place)
+
+
 def load_economic(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -149,42 +226,70 @@ def load_economic(
     domain: str,
     periods: str | None,
 ) -> dict[str, int]:
-    glossary = parsers.glossary_records(_of(landed, GLOSSARY))
-    datasets = parsers.dataset_records(_of(landed, DATASETS))
-    place = F.struct("doc", "position")
-    indicators = model.enrich_indicators(
-        model.dim_indicator_from_staged(staged.variables, staged.metadata), glossary, place
-    )
+    loaded = load_metadata(warehouse, landed, periods)
+    variables = staged.variables.withColumn("ordinal", landing_order("position"))
+    indicators = enriched(warehouse, model.dim_indicator_from_staged(variables, staged.metadata))
     dim_region = model.dim_region_for_domain(spark, domain, regions)
-    return {
+    return loaded | {
         "dim_date": warehouse.upsert(model.build_dim_date(data), "dim_date"),
-        "dim_indicator": warehouse.upsert(indicators, "dim_indicator"),
+        "dim_indicator": warehouse.upsert(indicators, "dim_indicator", ordinal="ordinal"),
         "dim_region": warehouse.upsert(dim_region, "dim_region"),
+        "fact_economic": load_fact_economic(warehouse, data),
+    }
+
+
+def enriched(warehouse: Warehouse, indicators: DataFrame) -> DataFrame:
+    """Indicators with the texts of the glossary as it is loaded so far."""
+    order = F.struct("glossary_key", "glossary_id")
+    return model.enrich_indicators(indicators, warehouse.table("warehouse", "dim_glossary"), order)
+
+
+def load_metadata(
+    warehouse: Warehouse, landed: DataFrame, periods: str | None
+) -> dict[str, int]:
+    """Datasets and glossary entries; of equal ids the last landed wins."""
+    datasets = parsers.dataset_records(_of(landed, DATASETS)).withColumn(
+        "ordinal", landing_order("position")
+    )
+    glossary = parsers.glossary_records(_of(landed, GLOSSARY)).withColumn(
+        "ordinal", landing_order("position")
+    )
+    return {
         "dim_dataset": warehouse.upsert(
-            model.build_dim_dataset(datasets, periods), "dim_dataset"
+            model.build_dim_dataset(datasets, periods), "dim_dataset", ordinal="ordinal"
+        ),
+        "dim_glossary": warehouse.upsert(
+            model.build_dim_glossary(glossary), "dim_glossary", ordinal="ordinal"
         ),
-        "dim_glossary": warehouse.upsert(model.build_dim_glossary(glossary), "dim_glossary"),
-        "fact_economic": load_fact_economic(warehouse, data),
     }
 
 
 def load_fact_economic(warehouse: Warehouse, data: DataFrame) -> int:
-    """Upsert staged observations; of equal grains the last in source order wins."""
+    """Upsert staged observations; of equal grains the last in source order wins.
+
+    The value and the file it came from are taken over together.
+    """
     return warehouse.upsert(
-        model.build_fact_economic(data), "fact_economic", update=["value"], ordinal="ordinal"
+        model.build_fact_economic(data), "fact_economic", update=["value", "source_key"],
+        ordinal="ordinal",
     )
 
 
-def load_trade(spark: SparkSession, warehouse: Warehouse, landed: DataFrame) -> dict[str, int]:
-    # Stored, so that the four loads below do not parse the responses again.
+def write_trade(warehouse: Warehouse, landed: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Store trade records, so that the loads do not parse them again, and pass them by the gate."""
     parsed = parsers.trade_records(_of(landed, TRADE)).withColumn("source_key", F.xxhash64("doc"))
     warehouse.load(parsed, "staging", "trade_records", "replace")
     records = warehouse.table("staging", "trade_records").withColumn(
-        "ordinal", F.struct("doc", "position")
+        "ordinal", landing_order("position")
     )
+    return records, quality.gate(quality.trade_checks(records))
+
+
+def load_trade(spark: SparkSession, warehouse: Warehouse, records: DataFrame) -> dict[str, int]:
     fact = model.build_fact_trade(records)
     products = records.select(
-        F.col("commodity_code").alias("product_code"), F.col("commodity_name").alias("product_name")
+        F.col("commodity_code").alias("product_code"),
+        F.col("commodity_name").alias("product_name"), "ordinal",
     )
     dates = model.build_dim_date_from_keys(fact)
     # A date that annual data has loaded already stays as it is.
@@ -194,7 +299,8 @@ def load_trade(spark: SparkSession, warehouse: Warehouse, landed: DataFrame) ->
         "dim_country": warehouse.upsert(model.build_dim_country(records), "dim_country"),
         "dim_trade_flow": warehouse.upsert(model.build_dim_trade_flow(spark), "dim_trade_flow"),
         "fact_trade": warehouse.upsert(
-            fact, "fact_trade", update=["value_usd", "net_weight_kg"], ordinal="ordinal"
+            fact, "fact_trade", update=["value_usd", "net_weight_kg", "source_key"],
+            ordinal="ordinal",
         ),
     }
 
@@ -204,21 +310,28 @@ def _of(landed: DataFrame, source: str) -> DataFrame:
 
 
 def build_marts(warehouse: Warehouse) -> None:
-    """Rebuild every mart; the bridge reads the two marts it compares."""
+    """Rebuild every mart; those that compare others read them as they were just stored."""
     economic, trade = warehouse.economic_star(), warehouse.trade_star()
     for name, mart in ECONOMIC_MARTS.items():
         warehouse.build_mart(mart(economic), name)
     for name, mart in TRADE_MARTS.items():
         warehouse.build_mart(mart(trade), name)
+    divergence = marts.divergence(
+        warehouse.table("mart", "indicator_trend"), warehouse.table("mart", "regional_performance")
+    )
+    warehouse.build_mart(divergence, "growth_divergence")
     bridge = marts.economic_trade_bridge(
         warehouse.table("mart", "economic_overview"), warehouse.table("mart", "trade_trend")
     )
     warehouse.build_mart(bridge, "economic_trade_bridge")
 
 
-def trace(fact: DataFrame, staged: DataFrame) -> DataFrame:
-    """Fact rows with the landed file that their value comes from."""
-    sources = staged.groupBy("source_key").agg(F.max("doc").alias("doc"))
+def trace(fact: DataFrame, files: DataFrame) -> DataFrame:
+    """Fact rows with the landed file that their value comes from.
+
+    `files` has source_key and doc, as `loaded_files` and the staged rows do.
+    """
+    sources = files.groupBy("source_key").agg(F.max("doc").alias("doc"))
     return fact.join(sources, "source_key", "left")
 
 

@@ -31,8 +31,8 @@ def land_responses(
 ) -> None:
     """Write responses (source, dataset, landed_on, body), replacing those of the same day.
 
-    Several responses for one source, dataset and day are an error of the caller unless
-    `ordinal` orders them; then the last one is kept.
+    Several responses for one source, dataset and day stop the write, unless `ordinal` orders
+    them; then the last one is kept.
     """
     # Raw line breaks carry no meaning in JSON; without them one response is one line.
     rows = responses.select(
@@ -46,6 +46,13 @@ def land_responses(
     )
     if ordinal is not None:
         rows = rows.groupBy(*PARTITIONS).agg(F.max_by("body", "_ordinal").alias("body"))
+    else:
+        several = F.raise_error(
+            F.concat(F.lit("several responses of one day without an order: "), F.concat_ws("/", *PARTITIONS))
+        )
+        rows = rows.groupBy(*PARTITIONS).agg(
+            F.count(F.lit(1)).alias("_n"), F.first("body").alias("body")
+        ).select(*PARTITIONS, F.when(F.col("_n") == 1, F.col("body")).otherwise(several.cast("string")).alias("body"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -99,6 +106,17 @@ def _path_parts(path: Column, pattern: str) -> list[Column]:
     ]
 
 
+def landed_day(doc: Column) -> Column:
+    """Day of a landed file as YYYYMMDD, from its place in either layout; 0 for other files."""
+    def number(pattern: str, group: int = 1) -> Column:
+        return F.coalesce(F.regexp_extract(doc, pattern, group).try_cast("int"), F.lit(0))
+
+    partitioned = [number(rf"/{part}=(\d+)(?:/|$)") for part in ("year", "month", "day")]
+    plain = [number(_PLAIN_PATH, group) for group in (3, 4, 5)]
+    days = [y * 10000 + m * 100 + d for y, m, d in (partitioned, plain)]
+    return F.greatest(*days)
+
+
 def list_landed(
     spark: SparkSession, base: str, source: str | None = None, plain_tree: bool = False
 ) -> DataFrame:

@@ -149,8 +149,16 @@ def glossary_records(responses: DataFrame) -> DataFrame:
     return _records(responses, GLOSSARY_FIELDS)
 
 
-def dataset_records(responses: DataFrame, first_only: bool = True) -> DataFrame:
-    """Dataset metadata: the first entry of each response, or all of them."""
+def rejected(responses: DataFrame) -> DataFrame:
+    """Responses that no parser can read, with the reason; the other columns as they are."""
+    kept = [c for c in responses.columns if c != "body"]
+    blank = F.col("body").isNull() | (F.trim(F.col("body")) == "")
+    reason = F.when(blank, "empty").when(F.try_parse_json("body").isNull(), "no JSON")
+    return responses.select(*kept, reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def dataset_records(responses: DataFrame, first_only: bool = False) -> DataFrame:
+    """Dataset metadata: all entries of each response, or only the first of each."""
     return _records(responses, DATASET_FIELDS, first_only)
 
 

@@ -1,4 +1,4 @@
-"""Incremental ingest: new landed statistics into the fact, each file once."""
+"""Incremental ingest: new landed statistics through the whole flow, each file once."""
 
 from __future__ import annotations
 
@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.functions.storage import discard, scratch_path
 from lumbung.operators import model, staging
 from lumbung.operators.load import Warehouse
+from lumbung.plans import pipeline
 from lumbung.plans.pipeline import STATISTICS
+from lumbung.sources import responses as parsers
 
 _STREAM_SCHEMA = (
     "value string, source string, dataset string, year int, month int, day int"
@@ -37,23 +40,44 @@ def ingest_available(
     checkpoint_dir: str,
     region_codes: Sequence[str] | Column | None = None,
     max_files: int | None = None,
+    regions: DataFrame | None = None,
+    rebuild_marts: bool = True,
 ) -> None:
-    """Upsert what has landed since the last run, then stop.
+    """Take what statistics have landed since the last run through the whole flow, then stop.
 
-    A batch that is run again after a failure upserts the same keys in the same order, which
-    leaves the fact as it was. Observations without region or year stay out of the fact.
+    Dates, indicators, the `regions` given (region_code, region_name) and the fact are upserted,
+    then the marts rebuilt. A batch that is run again after a failure upserts the same keys in the
+    same order, which leaves the tables as they were. What cannot be loaded is stored with its file
+    and the batch: responses that cannot be parsed in `staging.rejected_responses`, observations
+    without region or year in `staging.rejected_observations`, both replaced batch by batch.
     """
+    if regions is not None:
+        warehouse.upsert(model.build_dim_region(regions), "dim_region")
 
-    def upsert(batch: DataFrame, _batch_id: int) -> None:
-        data = staging.stage(batch, region_codes).data.withColumn(
-            "source_key", F.xxhash64("doc")
-        )
-        complete = data.where(F.col("region_id").isNotNull() & F.col("year").isNotNull())
-        warehouse.upsert(
-            model.build_fact_economic(complete), "fact_economic",
-            update=["value"], ordinal="ordinal",
-        )
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        label = F.lit(f"batch {batch_id}").alias("batch")
+        _keep(warehouse, parsers.rejected(batch).select("doc", "reason", label), "rejected_responses")
+        staged = staging.stage(batch, region_codes)
+        path = scratch_path(spark, "batch")
+        staged.data.withColumn("source_key", F.xxhash64("doc")).withColumn(
+            "place", F.col("ordinal.place")
+        ).drop("ordinal").write.parquet(path)
+        try:
+            data = spark.read.parquet(path).withColumn("ordinal", pipeline.landing_order("place"))
+            whole = F.col("region_id").isNotNull() & F.col("year").isNotNull()
+            lost = data.where(~whole).select("doc", "place", "variable_id", "region_id", "year", label)
+            _keep(warehouse, lost, "rejected_observations")
+            data = data.where(whole)
+            warehouse.upsert(model.build_dim_date(data), "dim_date")
+            variables = staged.variables.withColumn("ordinal", pipeline.landing_order("position"))
+            indicators = model.dim_indicator_from_staged(variables, staged.metadata)
+            warehouse.upsert(pipeline.enriched(warehouse, indicators), "dim_indicator", ordinal="ordinal")
+            pipeline.load_fact_economic(warehouse, data)
+            pipeline.record_loaded(warehouse, batch.select("doc"), "stream")
+        finally:
+            discard(spark, path)
 
+    warehouse.create_tables()
     query = (
         landed_stream(spark, landing_dir, max_files)
         .writeStream.foreachBatch(upsert)
@@ -62,3 +86,10 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
+    if rebuild_marts:
+        pipeline.build_marts(warehouse)
+
+
+def _keep(warehouse: Warehouse, rows: DataFrame, table: str) -> None:
+    """Replace the rows of one batch in a table of what was left out."""
+    warehouse.load(rows, "staging", table, "replace", partition_by=["batch"])

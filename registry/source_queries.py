@@ -217,7 +217,7 @@ _DATASET = """
 
 @register("l14_dataset_records", _DATASET)
 def l14(spark, sf_dir):
-    return parsers.dataset_records(adapters.dataset_responses(spark, sf_dir))
+    return parsers.dataset_records(adapters.dataset_responses(spark, sf_dir), first_only=True)
 
 
 @register(

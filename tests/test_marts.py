@@ -69,9 +69,8 @@ def test_lag_takes_the_previous_observed_year_and_zero_has_no_growth(spark):
 def test_null_values_rank_first_and_ties_share_a_rank(spark):
     data = [(2020, "a", "x", None), (2020, "b", "x", 7), (2020, "c", "x", 7), (2020, "d", "x", 1)]
     expected = [("a", 1), ("b", 2), ("c", 2), ("d", 4)]
-    for limit in (1000, 0):
-        mart = marts.regional_performance(star_of(spark, data), group_limit=limit)
-        assert sorted(rows(mart, "region_key", "regional_rank")) == expected
+    mart = marts.regional_performance(star_of(spark, data))
+    assert sorted(rows(mart, "region_key", "regional_rank")) == expected
 
 
 def test_growth_rounds_half_away_from_zero(spark):
@@ -138,11 +137,10 @@ def test_trade_marts(trade_star):
     assert sum(n for _, n in trend.values()) == 6
     assert sorted(rows(marts.trade_regional(trade_star).where("year = 2023"), "port_key", "record_count")) == [
         ("ID-BEL", 2), ("ID-TPP", 2)]
-    for limit in (1000, 0):
-        commodity = marts.trade_commodity(trade_star, group_limit=limit).where("year = 2024")
-        # A total of no known values ranks first and reads as zero.
-        assert sorted(rows(commodity, "product_code", "total_value_usd", "commodity_rank")) == [
-            ("15111000", D("1350000.00"), 2), ("999", 0, 1)]
+    commodity = marts.trade_commodity(trade_star).where("year = 2024")
+    # A total of no known values ranks first and reads as zero.
+    assert sorted(rows(commodity, "product_code", "total_value_usd", "commodity_rank")) == [
+        ("15111000", D("1350000.00"), 2), ("999", 0, 1)]
     partner = marts.trade_partner(trade_star).where("year = 2023 and trade_flow = 'Impor'")
     assert sorted(rows(partner, "country_code", "partner_rank")) == [("BR", 2), ("US", 1)]
 

@@ -27,21 +27,22 @@ def sample(n, hot):
     return data
 
 
-def test_split_groups_rank_like_one_window(spark):
+def test_ranks_equal_brute_force(spark):
     data = sample(600, 0.5)
     df = spark.createDataFrame(data, "g string, v int, i int").repartition(5)
     expected = brute(data)
-    for bound, limit in ((600, 1000), (600, 10)):
-        ranked = rank_desc(df, ["g"], "v", "rank", bound, limit)
+    for slots in (2, 7, 64):
+        ranked = rank_desc(df, ["g"], "v", "rank", slots)
         assert ranked.columns == ["g", "v", "i", "rank"]
         assert sorted(rows(ranked), key=str) == expected
 
 
-def test_split_path_never_sorts_a_whole_group_in_one_task(spark):
-    data = [("hot", v, v) for v in range(4000)]
+def test_a_group_far_larger_than_the_rest(spark):
+    data = [("hot", v // 2, v) for v in range(6000)] + [("small", 1, -1), ("none", None, -2)]
     df = spark.createDataFrame(data, "g string, v int, i int")
-    ranked = rank_desc(df, ["g"], "v", "rank", 4000, 10)
-    assert sorted(rows(ranked, "v", "rank")) == [(v, 4000 - v) for v in range(4000)]
+    ranked = rank_desc(df, ["g"], "v", "rank")
+    found = dict(rows(ranked.where("g = 'hot'"), "i", "rank"))
+    assert found == {v: 6000 - 2 * (v // 2) - 1 for v in range(6000)}
     windows = [
         line for line in ranked._jdf.queryExecution().optimizedPlan().toString().splitlines()
         if "Window [" in line
@@ -51,6 +52,13 @@ def test_split_path_never_sorts_a_whole_group_in_one_task(spark):
     assert any("_slot" in line.split("]")[1] for line in windows)
 
 
+def test_no_job_runs_while_the_plan_is_built(spark):
+    spark.sparkContext.setJobGroup("planning", "planning")
+    rank_desc(spark.range(10).selectExpr("id % 2 AS g", "id AS v"), ["g"], "v", "rank")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("tests", "tests")
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, v int")
-    assert rank_desc(df, ["g"], "v", "rank", 5, 1).count() == 0
+    assert rank_desc(df, ["g"], "v", "rank").count() == 0

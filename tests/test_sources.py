@@ -79,8 +79,8 @@ def test_glossary_and_dataset_records(spark):
     assert got == [("doc0", 0, "G1", "PDRB", "k", None, None, None, None, None)]
     dataset = json.dumps({"data": [{"id": "1", "judul": "a"}, {"id": "2", "judul": "b"}]})
     docs = responses(spark, dataset, '{"data": []}')
-    assert rows(parsers.dataset_records(docs), "table_id", "title") == [("1", "a")]
-    assert parsers.dataset_records(docs, first_only=False).count() == 2
+    assert rows(parsers.dataset_records(docs, first_only=True), "table_id", "title") == [("1", "a")]
+    assert parsers.dataset_records(docs).count() == 2
 
 
 def test_observation_selection_by_lists(spark):
