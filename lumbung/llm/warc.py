@@ -14,6 +14,7 @@ too, and so are pages without a page_id. Archive files hold about `file_bytes`,
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Epoch seconds of page 0 and the span of the times that pages without one get.
 FIRST_CAPTURE, CAPTURE_SPAN = 1_600_000_000, 100_000_000
 _END = "\r\n\r\n"
+#: Parts that the pages of one digest are spread over.
+_SALTS = 16
 ENTRY = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
     "url string, url_key string, captured_at string, archive string, record_offset long, record_length long"
@@ -49,8 +52,13 @@ def base32_sha1(content: Column) -> Column:
     )
 
 
-def records(pages: DataFrame, least_revisit_bytes: int = 0) -> DataFrame:
-    """One WARC record per page: page_id and `record`, without its closing line breaks."""
+def records(pages: DataFrame, files: int, least_revisit_bytes: int = 0) -> DataFrame:
+    """One WARC record per page, without its closing line breaks, dealt into `files` partitions.
+
+    A page moves once, to the partition of its digest and of a salt that spreads a digest that many
+    pages share; what is joined to it there is one row per repeated digest
+    and salt.
+    """
     payload = F.coalesce("html", F.lit("")).cast("binary")
     seconds = F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(CAPTURE_SPAN))
     known = pages.select(
@@ -62,9 +70,12 @@ def records(pages: DataFrame, least_revisit_bytes: int = 0) -> DataFrame:
         base32_sha1(payload).alias("digest"),
     )
     first = known.where(F.col("bytes") >= least_revisit_bytes).groupBy("digest").agg(
-        F.max("page_id").alias("response")
-    )
-    both = known.join(first, "digest", "left")
+        F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1").drop("n")
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int")
+    dealt = known.withColumn("salt", salt).repartition(files, "digest", "salt")
+    salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    both = dealt.join(salted.hint("merge"), ["digest", "salt"], "left")
     revisit = F.col("page_id") < F.col("response")
     urn = lambda page: F.concat(F.lit("<urn:page:"), page.cast("string"), F.lit(">"))
     head = F.concat(
@@ -89,14 +100,14 @@ def records(pages: DataFrame, least_revisit_bytes: int = 0) -> DataFrame:
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block)),
     )
-    return both.select("page_id", F.concat(lines, F.lit(_END), block).alias("record"))
+    return both.select(F.concat(lines, F.lit(_END), block).alias("record"))
 
 
 def write(pages: DataFrame, path: str, file_bytes: int = 16 << 20, least_revisit_bytes: int = 0) -> None:
-    """Write the archive files of `pages` under `path`, records dealt in turn."""
+    """Write the archive files of `pages` under `path`, gzipped as a whole."""
     size = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 600)).first()[0] or 0
-    dealt = records(pages, least_revisit_bytes).select("record").repartition(partitions_for(size, file_bytes))
-    dealt.write.option("lineSep", _END).text(path)
+    dealt = records(pages, partitions_for(size, file_bytes), least_revisit_bytes)
+    dealt.write.option("lineSep", _END).text(path, compression="gzip")
 
 
 def parse(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -130,7 +141,9 @@ def _page(urn: str | None) -> int | None:
 
 
 def read(path_of: DataFrame) -> DataFrame:
-    """Entries of archives (path, content), each archive's in order of key, time and page.
+    """Entries of gzipped archives (path, content), each archive's in order of key, time and page.
+
+    Offsets are those in the archive's text.
 
     The digest of every response is computed anew from the payload read; a difference is an error.
     """
@@ -139,7 +152,7 @@ def read(path_of: DataFrame) -> DataFrame:
         rows = []
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
             found = []
-            for offset, length, fields, block in parse(content):
+            for offset, length, fields, block in parse(gzip.decompress(content)):
                 digest, kind = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"]
                 size = int(fields["X-Payload-Bytes"])
                 if kind == "response":
