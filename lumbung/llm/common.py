@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,6 +70,19 @@ def columns_of(rows: list[tuple], *names: str) -> dict[str, object]:
     return dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
 
 
+def text_slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch with a column `text` in slices of at most `most` bytes of text, or of one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    start, held = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += size + 1
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType
 ) -> DataFrame:

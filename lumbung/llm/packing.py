@@ -27,7 +27,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from lumbung.functions.storage import materialize
-from lumbung.llm.common import columns_of, map_rows, partitions_for, ship
+from lumbung.llm.common import columns_of, map_rows, partitions_for, ship, text_slices
 
 #: Characters beyond plain Latin text (and the one whose lower case is two characters).
 _OTHER = r"[^\t-\r\x20-\x7e\x{a0}-\x{12f}\x{131}-\x{24f}]"
@@ -111,12 +111,14 @@ def tokenized(
     def over(batch: pa.RecordBatch) -> dict[str, object]:
         coder = encoder(tokenizer)
         rows: list[tuple] = []
-        for doc_id, found in zip(batch.column("doc_id").to_pylist(), coder.ids(batch.column("text"))):
-            ids = np.append(found, np.uint32(closing)).astype("<u4")
-            for piece, start in enumerate(range(0, len(ids), length)):
-                part = ids[start : start + length]
-                row = (doc_id, piece, start, len(part), zlib.crc32(part.tobytes()))
-                rows.append((*row, part.astype(np.int32)) if keep_ids else row)
+        # Some bytes at a time: the arrays over words and tokens are many times as large as the text.
+        for part in text_slices(batch):
+            for doc_id, found in zip(part.column("doc_id").to_pylist(), coder.ids(part.column("text"))):
+                ids = np.append(found, np.uint32(closing)).astype("<u4")
+                for piece, start in enumerate(range(0, len(ids), length)):
+                    cut = ids[start : start + length]
+                    row = (doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes()))
+                    rows.append((*row, cut.astype(np.int32)) if keep_ids else row)
         return columns_of(rows, *names)
 
     names = ("doc_id", "piece", "start", "length", "ids_crc32", *(("ids",) if keep_ids else ()))
