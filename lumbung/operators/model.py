@@ -35,7 +35,7 @@ ENRICHED = ("concept", "definition", "classification", "measure", "data_source")
 def _require(df: DataFrame, columns: Sequence[str]) -> None:
     for column in columns:
         if column not in df.columns:
-            raise ValueError(f"Missing required column: {column}")
+            raise ValueError(f"column {column} is required")
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
@@ -155,12 +155,8 @@ def build_dim_indicator(records: DataFrame) -> DataFrame:
     return _conform(keyed, "dim_indicator")
 
 
-def dim_indicator_from_staged(variables: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Indicators from staged variables and the table metadata of the same response.
-
-    Both sides carry the response id `doc`, so this is an equi-join rather than a product.
-    """
-    described = variables.join(metadata.select("doc", "subject", "unit", "frequency"), "doc", "left")
+def dim_indicator_from_staged(described: DataFrame) -> DataFrame:
+    """Indicators from staged variables beside the metadata of their table."""
     return build_dim_indicator(
         described.select(
             F.col("variable_id").cast("string").alias("indicator_code"),

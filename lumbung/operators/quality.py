@@ -154,17 +154,17 @@ def _table_checks(required: Sequence[str]) -> list[Column]:
             "empty_dataset",
             F.when(rows == 0, "FAIL").otherwise("PASS"),
             F.lit(0),
-            F.when(rows == 0, "dataset has no rows").otherwise(
-                F.format_string("dataset has %d rows", rows)
+            F.when(rows == 0, "no rows at all").otherwise(
+                F.format_string("%d rows", rows)
             ),
         ),
         _pass_or_fail(
-            "missing_values", missing, F.lit("no missing values in required columns"),
-            F.format_string("%d missing values: {%s}", missing, by_column),
+            "missing_values", missing, F.lit("every required column is filled"),
+            F.format_string("%d required values are NULL (%s)", missing, by_column),
         ),
         _pass_or_fail(
-            "duplicates", duplicates, F.lit("no duplicate rows found"),
-            F.format_string("%d duplicate rows found", duplicates),
+            "duplicates", duplicates, F.lit("all rows differ"),
+            F.format_string("%d rows repeat another", duplicates),
         ),
     ]
 
@@ -172,8 +172,8 @@ def _table_checks(required: Sequence[str]) -> list[Column]:
 def _numeric_check(column: str) -> Column:
     broken = F.col(f"_broken_{column}")
     return _pass_or_fail(
-        f"numeric_{column}", broken, F.lit("all values are numeric"),
-        F.format_string("%d values could not be converted to numeric", broken),
+        f"numeric_{column}", broken, F.lit("every value is a number"),
+        F.format_string("%d values are no numbers", broken),
     )
 
 
@@ -181,8 +181,8 @@ def _period_check() -> Column:
     bad, far = F.col("_bad_years"), F.col("_far_years")
     return _pass_or_fail(
         "period", bad + far,
-        F.format_string("years range: %d - %d", "_first_year", "_last_year"),
-        F.format_string("%d invalid years, %d out of range", bad, far),
+        F.format_string("years %d to %d", "_first_year", "_last_year"),
+        F.format_string("%d years cannot be read, %d lie outside the calendar", bad, far),
     )
 
 
@@ -192,10 +192,10 @@ def _negative_check() -> Column:
         "negative_values",
         F.when(skipped, "SKIP").when(negative > 0, "WARN").otherwise("PASS"),
         F.when(skipped, 0).otherwise(negative),
-        F.when(skipped, "value column contains non-numeric data; skipped")
+        F.when(skipped, "not checked, as some values are no numbers")
         .when(negative > 0, F.format_string(
-            "%d negative values found (may be valid depending on indicator)", negative))
-        .otherwise("no negative values found"),
+            "%d values are below zero", negative))
+        .otherwise("no value is below zero"),
     )
 
 
@@ -228,8 +228,8 @@ def region_check(rows: DataFrame, allowed: DataFrame | Sequence[str]) -> DataFra
     ).withColumn("codes", shown.scalar())
     bad = F.col("_bad")
     check = _pass_or_fail(
-        "region_codes", bad, F.lit("all region codes are valid"),
-        F.format_string("%d rows with invalid region codes: [%s]", bad, "codes"),
+        "region_codes", bad, F.lit("every region is known"),
+        F.format_string("%d rows have an unknown region, such as %s", bad, "codes"),
     )
     return totals.where(F.col("_all") > 0).select(F.inline(F.array(check)))
 
@@ -247,7 +247,7 @@ def summary(results: DataFrame) -> str:
     checks = results.collect()
     verdict = "FAILED" if any(check["status"] == "FAIL" for check in checks) else "PASSED"
     lines = [f"  [{check['status']}] {check['check']}: {check['details']}" for check in checks]
-    return "\n".join(["Data Quality Validation Results:", *lines, f"Overall: {verdict}"])
+    return "\n".join(["Quality checks:", *lines, f"Result: {verdict}"])
 
 
 def gate(results: DataFrame) -> list[str]:
@@ -266,8 +266,8 @@ def mapping_check(staged: DataFrame) -> DataFrame:
         "region_mapping",
         F.when(rows == 0, "FAIL").when(mapped == 0, "WARN").otherwise("PASS"),
         rows - mapped,
-        F.when(rows == 0, "no data rows found")
-        .when(mapped == 0, "region_id is null for all rows")
+        F.when(rows == 0, "nothing was staged")
+        .when(mapped == 0, "no row has a region")
         .otherwise(F.format_string("%d of %d rows have a region", mapped, rows)),
     )
     counted = staged.agg(F.count(F.lit(1)).alias("rows"), F.count("region_id").alias("mapped"))

@@ -27,6 +27,7 @@ class Staged(NamedTuple):
     variables: DataFrame
     vertical_variables: DataFrame
     data: DataFrame
+    described: DataFrame
 
 
 def stage(responses: DataFrame, region_codes: Sequence[str] | Column | None = None) -> Staged:
@@ -37,6 +38,7 @@ def stage(responses: DataFrame, region_codes: Sequence[str] | Column | None = No
         staged_variables(parsed),
         staged_vertical_variables(parsed),
         observations(parsed, region_codes),
+        described_variables(parsed),
     )
 
 
@@ -102,6 +104,18 @@ def _vervar_defs() -> Column:
     ).otherwise(F.transform("turvar", lambda v: entry(v, first_filled(v["id"], v["val"]))))
 
 
+def described_variables(parsed: DataFrame) -> DataFrame:
+    """Variable definitions beside the metadata of the table they stand in, from one pass."""
+    metadata = [F.col(name) for name, _, _ in METADATA_FIELDS]
+    exploded = parsed.select(
+        "doc", *_metadata().values(), F.posexplode(_variable_defs()).alias("position", "v")
+    )
+    return exploded.select(
+        "doc", "position", F.col("v.id").alias("variable_id"), F.col("v.name").alias("variable_name"),
+        *metadata,
+    )
+
+
 def staged_variables(parsed: DataFrame) -> DataFrame:
     """Variable definitions of either format."""
     return parsed.select("doc", F.posexplode(_variable_defs()).alias("position", "v")).select(

@@ -227,8 +227,8 @@ def load_economic(
     periods: str | None,
 ) -> dict[str, int]:
     loaded = load_metadata(warehouse, landed, periods)
-    variables = staged.variables.withColumn("ordinal", landing_order("position"))
-    indicators = enriched(warehouse, model.dim_indicator_from_staged(variables, staged.metadata))
+    described = staged.described.withColumn("ordinal", landing_order("position"))
+    indicators = enriched(warehouse, model.dim_indicator_from_staged(described))
     dim_region = model.dim_region_for_domain(spark, domain, regions)
     return loaded | {
         "dim_date": warehouse.upsert(model.build_dim_date(data), "dim_date"),

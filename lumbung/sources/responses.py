@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.functions.columns import first_filled, listed
+from lumbung.functions.columns import first_filled, listed, strip
 
 # Source field -> our column, in the order of the result.
 TRADE_FIELDS = {
@@ -152,7 +152,7 @@ def glossary_records(responses: DataFrame) -> DataFrame:
 def rejected(responses: DataFrame) -> DataFrame:
     """Responses that no parser can read, with the reason; the other columns as they are."""
     kept = [c for c in responses.columns if c != "body"]
-    blank = F.col("body").isNull() | (F.trim(F.col("body")) == "")
+    blank = F.col("body").isNull() | (strip(F.col("body")) == "")
     reason = F.when(blank, "empty").when(F.try_parse_json("body").isNull(), "no JSON")
     return responses.select(*kept, reason.alias("reason")).where(F.col("reason").isNotNull())
 

@@ -56,24 +56,33 @@ def ingest_available(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         label = F.lit(f"batch {batch_id}").alias("batch")
-        _keep(warehouse, parsers.rejected(batch).select("doc", "reason", label), "rejected_responses")
         staged = staging.stage(batch, region_codes)
-        path = scratch_path(spark, "batch")
-        staged.data.withColumn("source_key", F.xxhash64("doc")).withColumn(
+        data = staged.data.withColumn("source_key", F.xxhash64("doc")).withColumn(
             "place", F.col("ordinal.place")
-        ).drop("ordinal").write.parquet(path)
+        )
+        # A batch has a session of its own; what it holds is computed once and handed over to the
+        # warehouse's session.
+        path = scratch_path(spark, "batch")
+        parts = {
+            "files": batch.select("doc"), "rejected": parsers.rejected(batch).select("doc", "reason", label),
+            "described": staged.described, "data": data.drop("ordinal"),
+        }
+        for name, part in parts.items():
+            part.write.parquet(f"{path}/{name}")
         try:
-            data = spark.read.parquet(path).withColumn("ordinal", pipeline.landing_order("place"))
+            files, rejected, described, data = (spark.read.parquet(f"{path}/{name}") for name in parts)
+            _keep(warehouse, rejected, "rejected_responses")
+            data = data.withColumn("ordinal", pipeline.landing_order("place"))
+            described = described.withColumn("ordinal", pipeline.landing_order("position"))
             whole = F.col("region_id").isNotNull() & F.col("year").isNotNull()
             lost = data.where(~whole).select("doc", "place", "variable_id", "region_id", "year", label)
             _keep(warehouse, lost, "rejected_observations")
             data = data.where(whole)
             warehouse.upsert(model.build_dim_date(data), "dim_date")
-            variables = staged.variables.withColumn("ordinal", pipeline.landing_order("position"))
-            indicators = model.dim_indicator_from_staged(variables, staged.metadata)
+            indicators = model.dim_indicator_from_staged(described)
             warehouse.upsert(pipeline.enriched(warehouse, indicators), "dim_indicator", ordinal="ordinal")
             pipeline.load_fact_economic(warehouse, data)
-            pipeline.record_loaded(warehouse, batch.select("doc"), "stream")
+            pipeline.record_loaded(warehouse, files, "stream")
         finally:
             discard(spark, path)
 

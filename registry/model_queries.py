@@ -124,7 +124,7 @@ def b06(spark, sf_dir):
 )
 def b07(spark, sf_dir):
     staged = staging.stage(adapters.wide_responses(spark, sf_dir))
-    return model.dim_indicator_from_staged(staged.variables, staged.metadata)
+    return model.dim_indicator_from_staged(staged.described)
 
 
 @register(

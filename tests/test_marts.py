@@ -4,7 +4,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from conftest import REGION_CODES, REGION_NAMES, responses, rows, wide_response
+from conftest import REGION_CODES, REGION_NAMES, national_trend, regional_growth, responses, rows, wide_response
 from lumbung.operators import model, staging
 from lumbung.plans import analytics, marts, serving
 from lumbung.schemas import EconomicStar, TradeStar
@@ -40,21 +40,19 @@ def fixture_star(spark):
         model.build_fact_economic(staged.data),
         model.build_dim_date(staged.data),
         model.build_dim_region(regions),
-        model.dim_indicator_from_staged(staged.variables, staged.metadata),
+        model.dim_indicator_from_staged(staged.described),
     )
 
 
 def test_fixture_trend_and_ranking(fixture_star):
     trend = marts.indicator_trend(fixture_star).orderBy("year")
     assert rows(trend, "year", "national_value", "growth_pct", "unit") == [
-        (2020, D("669.14"), None, "Miliar Rupiah"),
-        (2021, D("682.50"), D("2.00"), "Miliar Rupiah"),
-        (2022, D("705.25"), D("3.33"), "Miliar Rupiah"),
+        (*row, "Million credits") for row in national_trend()
     ]
     ranked = marts.regional_performance(fixture_star).where("year = 2020").orderBy("regional_rank")
-    assert rows(ranked, "region_key", "regional_rank") == [("1200", 1), ("1100", 2), ("1300", 3), ("1400", 4)]
+    assert rows(ranked, "region_key", "regional_rank") == [("1200", 1), ("1300", 2), ("1100", 3), ("1400", 4)]
     grown = marts.regional_performance(fixture_star).where("year = 2021")
-    assert dict(rows(grown, "region_key", "growth_pct"))["1100"] == D("1.92")
+    assert dict(rows(grown, "region_key", "growth_pct"))["1100"] == regional_growth("2021")["NORTH HILLS"]
     assert set(rows(marts.economic_overview(fixture_star), "region_count")) == {(4,)}
 
 
@@ -97,13 +95,13 @@ def test_declared_aggregation_method(spark):
 
 
 TRADE = [
-    ("ekspor", "15111000", "CN", "ID-BEL", "2023", "1250000.50", "2500000.00"),
-    ("ekspor", "15111000", "IN", "ID-BEL", "2023-01", "980000.25", "1900000.00"),
-    ("impor", "10059090", "US", "ID-TPP", "2023-01-01", "450000.75", "1200000.00"),
-    ("impor", "10059090", "BR", "ID-TPP", "2023", "320000.00", "900000.00"),
-    ("ekspor", "15111000", "CN", "ID-BEL", "2024", "1350000.00", "2700000.00"),
-    ("ekspor", "15111000", "CN", "ID-BEL", "", "1", "1"),
-    ("ekspor", "999", "CN", "ID-BEL", "2024", "n/a", "x"),
+    ("ekspor", "70010000", "AA", "P-ONE", "2023", "5100.25", "9000.00"),
+    ("ekspor", "70010000", "BB", "P-ONE", "2023-01", "2400.50", "4000.00"),
+    ("impor", "80020000", "CC", "P-TWO", "2023-01-01", "1500.75", "700.00"),
+    ("impor", "80020000", "DD", "P-TWO", "2023", "1000.00", "800.00"),
+    ("ekspor", "70010000", "AA", "P-ONE", "2024", "7300.00", "9900.00"),
+    ("ekspor", "70010000", "AA", "P-ONE", "", "1", "1"),
+    ("ekspor", "999", "AA", "P-ONE", "2024", "n/a", "x"),
 ]
 TRADE_COLUMNS = "trade_type commodity_code country_code port_code period value_usd net_weight_kg"
 
@@ -131,18 +129,18 @@ def test_trade_fact_keys_and_amounts(trade_star):
 def test_trade_marts(trade_star):
     trend = {(y, f): (v, n) for y, f, v, n in rows(
         marts.trade_trend(trade_star), "year", "trade_flow", "total_value_usd", "transaction_count")}
-    assert trend[(2023, "Ekspor")] == (D("2230000.75"), 2)
-    assert trend[(2023, "Impor")] == (D("770000.75"), 2)
+    assert trend[(2023, "Ekspor")] == (D("7500.75"), 2)
+    assert trend[(2023, "Impor")] == (D("2500.75"), 2)
     # Without a dated period a row belongs to no year.
     assert sum(n for _, n in trend.values()) == 6
     assert sorted(rows(marts.trade_regional(trade_star).where("year = 2023"), "port_key", "record_count")) == [
-        ("ID-BEL", 2), ("ID-TPP", 2)]
+        ("P-ONE", 2), ("P-TWO", 2)]
     commodity = marts.trade_commodity(trade_star).where("year = 2024")
     # A total of no known values ranks first and reads as zero.
     assert sorted(rows(commodity, "product_code", "total_value_usd", "commodity_rank")) == [
-        ("15111000", D("1350000.00"), 2), ("999", 0, 1)]
+        ("70010000", D("7300.00"), 2), ("999", 0, 1)]
     partner = marts.trade_partner(trade_star).where("year = 2023 and trade_flow = 'Impor'")
-    assert sorted(rows(partner, "country_code", "partner_rank")) == [("BR", 2), ("US", 1)]
+    assert sorted(rows(partner, "country_code", "partner_rank")) == [("DD", 2), ("CC", 1)]
 
 
 def test_bridge_repeats_trade_and_keeps_trade_only_years(spark, trade_star):
@@ -151,8 +149,8 @@ def test_bridge_repeats_trade_and_keeps_trade_only_years(spark, trade_star):
     columns = ("year", "national_value", "export_total_usd", "trade_balance_usd")
     got = sorted(rows(marts.economic_trade_bridge(overview, trend), *columns), key=str)
     assert got == sorted([
-        (2022, 1, 0, 0), (2023, 2, D("2230000.75"), D("1460000.00")),
-        (2023, 5, D("2230000.75"), D("1460000.00")), (None, None, D("1350000.00"), D("1350000.00")),
+        (2022, 1, 0, 0), (2023, 2, D("7500.75"), D("5000.00")),
+        (2023, 5, D("7500.75"), D("5000.00")), (None, None, D("7300.00"), D("7300.00")),
     ], key=str)
     filled = marts.economic_trade_bridge(overview, trend, fill_trade_years=True)
     assert (2024,) in rows(filled, "year")
@@ -184,7 +182,7 @@ def test_glossary_enrichment(spark):
 
 
 def test_fact_builder_names_the_missing_column(spark):
-    with pytest.raises(ValueError, match="Missing required column: region_id"):
+    with pytest.raises(ValueError, match="region_id is required"):
         model.build_fact_economic(spark.createDataFrame([("1", 2020, 1.0)], "variable_id string, year int, value double"))
 
 

@@ -12,8 +12,8 @@ from lumbung.sources import landing
 from lumbung.sources import responses as parsers
 
 TRADE = [
-    ("ekspor", "15111000", "CN", "ID-BEL", "2023", "1250000.50", "2500000.00"),
-    ("ekspor", "15111000", "IN", "ID-BEL", "2023", "980000.25", "1900000.00"),
+    ("ekspor", "70010000", "AA", "P-ONE", "2023", "5100.25", "9000.00"),
+    ("ekspor", "70010000", "BB", "P-ONE", "2023", "2400.50", "4000.00"),
 ]
 
 
@@ -49,18 +49,18 @@ def test_plain_variables_and_content(spark):
         datacontent=[["2023", "1", "2"], [], ["2024", "3"]],
     )
     parsed = parsers.parse_statistics(responses(spark, body))
-    assert rows(parsers.variables(parsed), "variable_id", "variable_name") == [("145", "PDRB")]
+    assert rows(parsers.variables(parsed), "variable_id", "variable_name") == [("145", "Output")]
     assert rows(parsers.vertical_variables(parsed)) == [("doc0", 0, "1", "a", "d", "u")]
     assert rows(parsers.content_rows(parsed), "year", "values", "region_names") == [
-        ("2023", ["1", "2"], "PDRB Menurut Provinsi"), ("2024", ["3"], "PDRB Menurut Provinsi"),
+        ("2023", ["1", "2"], "Output by region"), ("2024", ["3"], "Output by region"),
     ]
 
 
 def test_trade_records_keep_text(spark):
     got = rows(parsers.trade_records(responses(spark, trade_body(TRADE))).orderBy("position"))
     assert got[0] == (
-        "doc0", 0, "ekspor", "15111000", None, "CN", None, "ID-BEL", None, "2023", "1250000.50",
-        "2500000.00",
+        "doc0", 0, "ekspor", "70010000", None, "AA", None, "P-ONE", None, "2023", "5100.25",
+        "9000.00",
     )
     assert len(got) == 2
     assert rows(parsers.trade_records(responses(spark, '{"data": []}'))) == []
@@ -69,14 +69,14 @@ def test_trade_records_keep_text(spark):
 def test_trade_selection(spark):
     records = parsers.trade_records(responses(spark, trade_body(TRADE)))
     assert parsers.select_trade(records, "ekspor", "2023").count() == 2
-    assert parsers.select_trade(records, "ekspor", country_code="IN").count() == 1
+    assert parsers.select_trade(records, "ekspor", country_code="BB").count() == 1
     assert parsers.select_trade(records, "impor").count() == 0
 
 
 def test_glossary_and_dataset_records(spark):
-    glossary = json.dumps({"data": [{"id": "G1", "nama_indikator": "PDRB", "konsep": "k"}]})
+    glossary = json.dumps({"data": [{"id": "G1", "nama_indikator": "Output", "konsep": "k"}]})
     got = rows(parsers.glossary_records(responses(spark, glossary)))
-    assert got == [("doc0", 0, "G1", "PDRB", "k", None, None, None, None, None)]
+    assert got == [("doc0", 0, "G1", "Output", "k", None, None, None, None, None)]
     dataset = json.dumps({"data": [{"id": "1", "judul": "a"}, {"id": "2", "judul": "b"}]})
     docs = responses(spark, dataset, '{"data": []}')
     assert rows(parsers.dataset_records(docs, first_only=True), "table_id", "title") == [("1", "a")]

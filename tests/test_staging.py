@@ -18,9 +18,9 @@ def test_wide_rows_map_values_to_regions_by_position(spark):
         "variable_id", "vervar_id", "region_id", "year", "value", "period_type",
     )
     assert len(got) == 12
-    assert got[0] == ("145", None, "1100", 2020, Decimal("126.510000"), None)
-    assert got[1][2:5] == ("1200", 2020, Decimal("508.830000"))
-    assert got[-1][2:5] == ("1400", 2022, Decimal("1.100000"))
+    assert got[0] == ("145", None, "1100", 2020, Decimal("40.250000"), None)
+    assert got[1][2:5] == ("1200", 2020, Decimal("310.500000"))
+    assert got[-1][2:5] == ("1400", 2022, Decimal("8.000000"))
 
 
 def test_without_region_codes_all_rows_stay_with_null_region(spark):
@@ -36,11 +36,11 @@ def test_values_beyond_the_region_list_have_no_region(spark):
 def test_vertical_variables_alternate_within_a_region(spark):
     body = wide_response(
         vervar=[{"id": "1", "label": "a", "unit": "u"}, {"id": "2", "label": "b"}],
-        datacontent=[["2020", "100", "95", "200", "190"]],
+        datacontent=[["2020", "11", "12", "23", "24"]],
     )
     got = rows(observe(spark, body, ["1100", "1200"]).orderBy("ordinal"), "region_id", "vervar_id", "value")
     assert got == [
-        ("1100", "1", 100), ("1100", "2", 95), ("1200", "1", 200), ("1200", "2", 190),
+        ("1100", "1", 11), ("1100", "2", 12), ("1200", "1", 23), ("1200", "2", 24),
     ]
 
 
@@ -94,7 +94,7 @@ def test_metadata_of_each_format_and_of_neither(spark):
     parsed = parse_statistics(responses(spark, wide_response(), json.dumps(KEYED), "{}"))
     got = rows(staging.table_metadata(parsed).orderBy("doc"))
     assert got[0] == (
-        "doc0", "1234", "T-001", "PDRB Menurut Provinsi", "Ekonomi", "Miliar Rupiah", "Tahunan",
+        "doc0", "77", "T-7", "Output by region", "Economy", "Million credits", "Yearly",
     )
     assert got[1] == ("doc1", "192", None, "Miskin", "Sosial", "Persen", None)
     assert got[2] == ("doc2", None, None, None, None, None, None)
@@ -103,7 +103,7 @@ def test_metadata_of_each_format_and_of_neither(spark):
 def test_variable_definitions_of_each_format(spark):
     staged = staging.stage(responses(spark, wide_response(), json.dumps(KEYED)))
     assert rows(staged.variables.orderBy("doc")) == [
-        ("doc0", 0, "145", "PDRB", "Harga Konstan 2010"), ("doc1", 0, "192", "Miskin", "d"),
+        ("doc0", 0, "145", "Output", "Constant prices"), ("doc1", 0, "192", "Miskin", "d"),
     ]
     assert rows(staged.vertical_variables.orderBy("position"), "vervar_id", "vervar_name") == [
         ("432", "Kota"), ("433", "Desa"),
