@@ -61,6 +61,7 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
                 )
+        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
     return df.mapInArrow(over, schema)
 
@@ -93,6 +94,7 @@ def map_batches(
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(over, schema)
 
