@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go but for their first occurrence, and documents emptied by that."""
+    """Repeated runs of lines go but for their first occurrence, and documents emptied by that."""
     return line_dedup.dedup_lines(docs, drop_emptied=True)
 
 

@@ -1,14 +1,14 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup: every run of lines that an earlier run of lines equals goes.
 
-Lines are hashed; a rolling hash over the last `window` line hashes ends a chunk where it is
-divisible by `divisor`, so the same run of lines is cut at the same places wherever it stands. Of
-every multi-line chunk that occurs more than once in the corpus (equal byte by byte), the first
-occurrence by (doc_id, place) stays and the others are removed.
+A run counts from `min_lines` lines and `min_chars` characters on. Of the runs that are equal byte by
+byte the first by (doc_id, place) stays, and every other goes that does not overlap it. What decides
+are the shortest runs that count, from each line on and up to each line: every repeated run is made
+up of them, wherever it begins and however long it is, and equal runs have equal ones.
 
-Defined results: a NULL text stays NULL and an empty one empty; texts without line breaks are one
-chunk of one line and stay. A chunk of fewer than `min_lines` lines or of fewer than `min_chars`
-characters is never removed. Rows that repeat a doc_id are ordered by a hash of their text;
-identical rows count as one row and fare alike. Rows without a doc_id come first in the order.
+Defined results: a NULL text stays NULL and an empty one empty; with `min_lines` above 1, texts
+without line breaks stay. A removed line always has an equal that stays. Rows that repeat a doc_id are
+ordered by a hash of their text; identical rows count as one row and fare alike. Rows without a doc_id
+come first in the order.
 """
 
 from __future__ import annotations
@@ -28,7 +28,11 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def chunks(text: str, window: int = 2, divisor: int = 3) -> list[tuple[int, int, int, int]]:
-    """(start, end, lines, hash) of each chunk; the line break after its last line is not in it."""
+    """(start, end, lines, hash) of each content-defined chunk, without its last line break.
+
+    A rolling hash over the last `window` line hashes ends a chunk where it is divisible by
+    `divisor`. A repeated run of a few lines seldom holds a whole chunk, so dedup rests on `runs`.
+    """
     found, start, place, hashes = [], 0, 0, []
     previous: list[int] = []
     for line in text.split("\n"):
@@ -49,10 +53,42 @@ def chunks(text: str, window: int = 2, divisor: int = 3) -> list[tuple[int, int,
     return found
 
 
-def repeated_chunks(
-    docs: DataFrame, window: int = 2, divisor: int = 3, min_lines: int = 2, min_chars: int = 40
-) -> DataFrame:
-    """Chunks to remove: doc_id, version (hash of the text), start, end in code points.
+def runs(text: str, min_lines: int = 2, min_chars: int = 40) -> list[tuple[int, int, int]]:
+    """(start, end, hash) of the shortest runs of lines that count, from and up to each line."""
+    starts, ends, hashes, place = [], [], [], 0
+    for line in text.split("\n"):
+        starts.append(place)
+        ends.append(place + len(line))
+        hashes.append(xxhash.xxh64_intdigest(line.encode()))
+        place = ends[-1] + 1
+    count = len(starts)
+    places = set()
+    last = 0
+    for first in range(count):
+        last = max(last, first + min_lines - 1)
+        while last < count and ends[last] - starts[first] < min_chars:
+            last += 1
+        if last >= count:
+            break
+        places.add((first, last))
+    first = 0
+    for last in range(count):
+        if last - first + 1 < min_lines or ends[last] - starts[first] < min_chars:
+            continue
+        while last - first >= min_lines and ends[last] - starts[first + 1] >= min_chars:
+            first += 1
+        places.add((first, last))
+    found = []
+    for first, last in sorted(places):
+        digest = 0
+        for value in hashes[first : last + 1]:
+            digest = ((digest ^ value) * _MULTIPLIER + 1) & _MASK
+        found.append((starts[first], ends[last], digest - (1 << 63)))
+    return found
+
+
+def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> DataFrame:
+    """Runs to remove, which may overlap: doc_id, version (hash of the text), start, end in code points.
 
     Hashes choose candidates and only their text moves; equality is decided on the bytes, grouped
     by text with partial aggregates, so a passage of any frequency is one row per task.
@@ -62,16 +98,12 @@ def repeated_chunks(
         ids, versions = batch.column("doc_id").to_pylist(), batch.column("version").to_pylist()
         out: list[tuple] = []
         for doc_id, version, text in zip(ids, versions, batch.column("text").to_pylist()):
-            out += [
-                (doc_id, version, start, end, digest)
-                for start, end, lines, digest in chunks(text, window, divisor)
-                if lines >= min_lines and end - start >= min_chars
-            ]
+            out += [(doc_id, version, *run) for run in runs(text, min_lines, min_chars)]
         return columns_of(out, "doc_id", "version", "start", "end", "h")
 
     texts = docs.where("text IS NOT NULL").select("doc_id", _version().alias("version"), "text")
     rows = materialize(
-        map_rows(texts, cut, "doc_id long, version long, start long, end long, h long"), "chunks"
+        map_rows(texts, cut, "doc_id long, version long, start long, end long, h long"), "runs"
     )
     distinct = rows.distinct()
     often = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
@@ -98,7 +130,7 @@ def repeated_chunks(
         ),
         "repeated",
     )
-    place = F.struct("doc_id", "version", "start")
+    place = F.struct("doc_id", "version", "start", "end")
     # Two texts of one digest would be two rows here; then neither is touched.
     groups = (
         held.groupBy("digest", "content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -106,17 +138,18 @@ def repeated_chunks(
         .agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
         .where("n > 1 AND texts = 1")
     )
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("version") == F.col("first.version"))
     return (
         held.select("digest", "doc_id", "version", "start", "end")
         .join(groups.select("digest", "first"), "digest")
-        .where(~place.eqNullSafe(F.col("first")))
+        .where(~(same & (F.col("start") <= F.col("first.end"))))
         .select("doc_id", "version", "start", "end")
         .distinct()
     )
 
 
-def remove_chunks(docs: DataFrame, removed: DataFrame, drop_emptied: bool = False) -> DataFrame:
-    """`docs` without the chunks of `removed`, n_chars set anew where there is such a column.
+def remove_runs(docs: DataFrame, removed: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """`docs` without the runs of `removed`, n_chars set anew where there is such a column.
 
     With `drop_emptied`, documents all of whose content stands elsewhere go.
     """
@@ -128,7 +161,7 @@ def remove_chunks(docs: DataFrame, removed: DataFrame, drop_emptied: bool = Fals
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, spans = batch.column("text").to_pylist(), batch.column("_lb_spans").to_pylist()
-        new = [without(text, held) if held else text for text, held in zip(texts, spans)]
+        new = [without(text, united(held)) if held else text for text, held in zip(texts, spans)]
         keep = [not (drop_emptied and held and not text.strip()) for text, held in zip(new, spans)]
         arrays = []
         for name in columns:
@@ -147,6 +180,17 @@ def remove_chunks(docs: DataFrame, removed: DataFrame, drop_emptied: bool = Fals
     return map_batches(joined, cut, docs.schema)
 
 
+def united(spans: list[dict]) -> list[dict]:
+    """The spans in order, those that overlap made one."""
+    out: list[dict] = []
+    for span in sorted(spans, key=lambda s: s["start"]):
+        if out and span["start"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], span["end"])
+        else:
+            out.append({"start": span["start"], "end": span["end"]})
+    return out
+
+
 def without(text: str, spans: list[dict]) -> str:
     """`text` without the given runs of whole lines and without the line breaks that ended them."""
     parts, place = [], 0
@@ -160,8 +204,8 @@ def without(text: str, spans: list[dict]) -> str:
 
 
 def dedup_lines(docs: DataFrame, drop_emptied: bool = False, **options: int) -> DataFrame:
-    """The documents, columns as they are, without repeated multi-line chunks."""
-    return remove_chunks(docs, materialize(repeated_chunks(docs, **options), "removed"), drop_emptied)
+    """The documents, columns as they are, without repeated runs of lines."""
+    return remove_runs(docs, materialize(repeated_runs(docs, **options), "removed"), drop_emptied)
 
 
 def _version() -> Column:
