@@ -6,8 +6,8 @@ sets fold into one representative first, so exact copies cost one row each. Band
 gather representatives: every member of a band's bucket is compared with the bucket's smallest
 member, which is linear in the bucket; buckets whose other members are still in several components
 afterwards have the pairs across components estimated in square blocks, inside tasks, on packed
-b-bit signatures. What the estimates may link becomes a cluster, and the pairs of a cluster that are
-still in several components are compared on the full sets, in square blocks again, of which only the
+b-bit signatures. Components that the estimates may link become a cluster with all their members, and
+the pairs of a cluster that are still in several components are compared on the full sets, in square blocks again, of which only the
 links that join components come back. Every link is confirmed on the full sets.
 
 Defined results: NULL or empty texts and texts without words have no shingles and link with nothing.
@@ -292,8 +292,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         ),
         "likely",
     )
-    # Whatever else may be linked lies within a cluster; clusters are compared on the full sets.
-    clusters = components(likely).withColumnRenamed("component", "cluster")
+    # An estimated link stands for all pairs of the components it joins, so a cluster takes in every
+    # member of a confirmed component it touches: whatever else may be linked lies within a cluster.
+    # Those with an estimated link are compared on the full sets; the others are one component.
+    joined = components(likely.union(links)).withColumnRenamed("component", "cluster")
+    touched = joined.join(likely.select(F.col("a").alias("id")), "id", "left_semi").select("cluster")
+    clusters = materialize(joined.join(touched.distinct(), "cluster", "left_semi"), "clusters")
     sized = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
     members = (
         sized.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -304,8 +308,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     copies = linked.join(folded, "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     several = copies.groupBy("a").agg(F.min("b").alias("x"), F.max("b").alias("y")).where("x <> y")
-    joined = copies.join(several.select("a"), "a", "left_semi")
-    final = components(links.union(more).union(joined))
+    shared = copies.join(several.select("a"), "a", "left_semi")
+    final = components(links.union(more).union(shared))
     by_fold = folded.join(final, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("fold")
     )

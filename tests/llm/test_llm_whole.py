@@ -6,7 +6,19 @@ import random
 
 import pytest
 
-from lumbung.llm import line_dedup
+from lumbung.llm import line_dedup, minhash
+
+
+def test_members_of_a_touched_component_are_compared_on_full_sets(spark):
+    """The only link of `r` is to a member of a component that another of its members stands for."""
+    rows = []
+    for family in range(4):
+        words = [f"f{family}w{i}" for i in range(500)]
+        base = family * 100
+        rows += [(base + i, " ".join([*words, *(f"f{family}p{i}t{k}" for k in range(3))])) for i in range(60)]
+        rows += [(base + 60, " ".join(words[:480])), (base + 61, " ".join(words[:370]))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i // 100 * 100 for i, _ in rows}
 
 
 def brute_runs(rows, min_lines, min_chars):
