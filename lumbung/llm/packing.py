@@ -14,6 +14,7 @@ table gives an empty result. Repeated rows are packed each, as documents of thei
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,12 +55,14 @@ class WordEncoder:
     """Token ids as the tokenizers library gives them, keeping the ids of words it has met.
 
     No token of this kind of tokenizer spans white space, so the ids of a text are those of the
-    runs between white space, and each distinct run is encoded once.
+    runs between white space, and each distinct run is encoded once. Texts that hold the content of
+    an added token, such as an end mark, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        added = [token.content for token in self.whole.get_added_tokens_decoder().values() if token.content]
+        self.added = "|".join(map(re.escape, added))
         self.memo: dict[str, bytes] = {}  # ids as 32-bit integers, which a worker keeps for long
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
@@ -67,6 +70,14 @@ class WordEncoder:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not len(texts):
             return []
+        whole: dict[int, np.ndarray] = {}
+        if self.added:
+            marked = pc.match_substring_regex(texts, self.added, ignore_case=True)
+            for at in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+                found = self.whole.encode(texts[at].as_py(), add_special_tokens=False).ids
+                whole[at] = np.array(found, np.uint32)
+            if whole:
+                texts = pc.if_else(marked, "", texts)
         # The tokenizer folds case itself; doing so here where it is plain leaves fewer runs.
         other = pc.match_substring_regex(texts, _OTHER)
         words = pc.ascii_split_whitespace(pc.if_else(other, texts, pc.utf8_lower(texts)))
@@ -79,7 +90,7 @@ class WordEncoder:
         place = np.repeat(starts[codes] - before[:-1], counts) + np.arange(before[-1])
         tokens = flat[place]
         bounds = before[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        return [tokens[a:b] for a, b in zip(bounds, bounds[1:])]
+        return [whole.get(at, tokens[a:b]) for at, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
     def _known(self, words: list[str], starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Ids of distinct words one after the other; fills in where each begins and its length."""

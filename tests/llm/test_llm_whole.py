@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
-from lumbung.llm import line_dedup, minhash
+from lumbung.llm import line_dedup, minhash, packing
 
 
 def test_members_of_a_touched_component_are_compared_on_full_sets(spark):
@@ -21,6 +24,18 @@ def test_members_of_a_touched_component_are_compared_on_full_sets(spark):
     assert {r.doc_id: r.component_id for r in found} == {i: i // 100 * 100 for i, _ in rows}
 
 
+def test_texts_with_added_tokens_have_the_ids_of_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    texts = [
+        "x <|endoftext|> a", "X<|startoftext|>y", "no mark", "<|ENDOFTEXT|> b", None, "", "<|endoftext|>",
+        "Two <|endoftext|>\n<|endoftext|> İ", "cut <|endof text|>",
+    ]
+    got = [ids.tolist() for ids in packing.WordEncoder(path).ids(pa.array(texts))]
+    assert got == [whole.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert got[0] == [343, 49407, 320]
+
+
 def brute_runs(rows, min_lines, min_chars):
     """Texts without the lines of maximal runs, found line by line, that equal an earlier run."""
     texts = [(doc_id, text.split("\n")) for doc_id, text in sorted(rows)]
