@@ -1,9 +1,11 @@
 """Language ID by compression: the language whose dictionary shortens a text most.
 
 Fitting takes, per language, a bounded sample of whole training texts (one per hash bucket, the
-one with the smallest hash) as a raw-content zstandard dictionary. A text is compressed once with
-each dictionary; the smallest size wins, ties go to the language with more training documents and
-then to the lesser name.
+one with the smallest hash) as a raw-content zstandard dictionary. A text is compressed with each
+dictionary, in pieces of `PIECE` bytes that each begin with the dictionary alone, so that what it
+saves is a share of any length; the smallest sum wins, ties go to the language with more training
+documents and then to the lesser name. The margin is the excess of the second-best language as a
+share of its size, or where one language is learned, that of no dictionary at all.
 
 Defined results: NULL texts and texts without a letter are `und` with score 0; so are all texts
 when nothing can be learned. Repeated rows are scored alike, extra columns are ignored.
@@ -23,6 +25,9 @@ from lumbung.llm.common import filter_rows, held_out, map_rows
 
 UNDETERMINED = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, margin double"
+PIECE = 4096
+#: A text whose margin is less is of no learned language; see the README for the calibration.
+MIN_MARGIN = 0.02
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -90,7 +95,7 @@ def fit(
 
 
 def predict_texts(
-    texts: list[str | None], model: LanguageModel, min_score: float
+    texts: list[str | None], model: LanguageModel, min_score: float, min_margin: float = 0.0
 ) -> tuple[list[str], list[float], list[float]]:
     """Language, score and margin of each text."""
     names = [name for name, _ in model.dictionaries]
@@ -103,6 +108,8 @@ def predict_texts(
                 level=model.level, dict_data=held, write_content_size=False, write_dict_id=False
             )
         )
+    if len(coders) == 1:
+        coders.append(zstandard.ZstdCompressor(level=model.level, write_content_size=False))
     found, scores, margins = [], [], []
     for text in texts:
         letters = plain(text or "")
@@ -112,25 +119,33 @@ def predict_texts(
             margins.append(0.0)
             continue
         data = letters.encode()
-        sizes = [len(coder.compress(data)) for coder in coders]
+        parts = [data[start : start + PIECE] for start in range(0, len(data), PIECE)]
+        sums = [sum(len(coder.compress(part)) for part in parts) for coder in coders]
+        sizes = sums[: len(names)]
         least = min(sizes)
         score = 1.0 / sum(2.0 ** -min(size - least, 1000) for size in sizes)
-        found.append(names[sizes.index(least)] if score >= min_score else UNDETERMINED)
+        second = min(size for at, size in enumerate(sums) if at != sizes.index(least))
+        margin = max(0.0, (second - least) / second)
+        told = score >= min_score and margin >= min_margin
+        found.append(names[sizes.index(least)] if told else UNDETERMINED)
         scores.append(score)
-        second = sorted(sizes)[1:2]
-        margins.append((second[0] - least) / second[0] if second else 1.0)
+        margins.append(margin)
     return found, scores, margins
 
 
-def predict(docs: DataFrame, model: LanguageModel, min_score: float = 0.0) -> DataFrame:
-    """Columns of `SCHEMA` for every row of `docs`; predictions below `min_score` become `und`.
+def predict(
+    docs: DataFrame, model: LanguageModel, min_score: float = 0.0, min_margin: float = 0.0
+) -> DataFrame:
+    """Columns of `SCHEMA` for every row of `docs`; predictions below a least value become `und`.
 
     `score` weighs each language by 2 to the power of minus its excess bytes; `margin` is the
-    excess of the second-best language as a share of its size.
+    excess of the second-best language, or of no dictionary if there is one language, as a share.
     """
 
     def classify(batch: pa.RecordBatch) -> dict[str, object]:
-        found, scores, margins = predict_texts(batch.column("text").to_pylist(), model, min_score)
+        found, scores, margins = predict_texts(
+            batch.column("text").to_pylist(), model, min_score, min_margin
+        )
         return {
             "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
             "lang_pred": found, "score": scores, "margin": margins,
@@ -140,12 +155,12 @@ def predict(docs: DataFrame, model: LanguageModel, min_score: float = 0.0) -> Da
     return map_rows(rows, classify, SCHEMA)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.3) -> DataFrame:
-    """The rows and columns of `docs` whose language is told; the others, narrow ones too, go."""
+def keep_identified(docs: DataFrame, model: LanguageModel, min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows and columns of `docs` whose language is told; those of a margin below `min_margin` go."""
     return filter_rows(
         docs,
         lambda batch: [
             name != UNDETERMINED
-            for name in predict_texts(batch.column("text").to_pylist(), model, min_score)[0]
+            for name in predict_texts(batch.column("text").to_pylist(), model, 0.0, min_margin)[0]
         ],
     )

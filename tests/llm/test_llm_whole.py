@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from lumbung.llm import line_dedup, minhash, packing
+from lumbung.llm import language_id, line_dedup, minhash, packing
 
 
 def test_members_of_a_touched_component_are_compared_on_full_sets(spark):
@@ -67,3 +67,22 @@ def test_line_dedup_finds_every_repeated_run(spark, seed):
     left = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = brute_runs(rows, 2, 40)
     assert {r.doc_id: r.text for r in left} == want and want[101] == "other\nend"
+
+
+def spoken(rng, syllables, words):
+    return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(words))
+
+
+@pytest.mark.parametrize("languages", [1, 2, 4])
+def test_narrow_margins_go_whatever_the_length_and_the_languages(spark, languages):
+    rng = random.Random(3)
+    own = [["ka", "ro", "mi", "tu"], ["ble", "sch", "und", "ing"], ["oux", "ça", "é", "vre"], ["ñe", "dor", "lla", "aci"]][:languages]
+    rows = [(i, spoken(rng, own[i % languages], 120), f"l{i % languages}", False) for i in range(200)]
+    rows += [(1000 + i, spoken(rng, own[i % languages], 30_000), f"l{i % languages}", False) for i in range(4)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows += [(2000 + i, spoken(rng, letters, words), None, True) for i, words in enumerate([400, 2000, 30_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, odd boolean")
+    model = language_id.fit(docs)
+    assert len(model.dictionaries) == languages
+    kept = {r.doc_id for r in language_id.keep_identified(docs, model).collect()}
+    assert kept == {i for i, _, _, odd in rows if not odd}
