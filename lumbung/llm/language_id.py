@@ -1,7 +1,8 @@
 """Language ID by compression: the language whose dictionary shortens a text most.
 
-Fitting takes, per language, a bounded sample of whole training texts (one per hash bucket, the
-one with the smallest hash) as a raw-content zstandard dictionary. A text is compressed with each
+Fitting takes, per language, a bounded sample of training texts (one per hash bucket, the one with
+the smallest hash; a bounded part of a long one where a bucket has no other) as a raw-content
+zstandard dictionary. A text is compressed with each
 dictionary, in pieces of `PIECE` bytes that each begin with the dictionary alone, so that what it
 saves is a share of any length; the smallest sum wins, ties go to the language with more training
 documents and then to the lesser name. The margin is the excess of the second-best language as a
@@ -55,7 +56,9 @@ def fit(
     """Learn dictionaries from the training fold of `docs` (doc_id, text, lang).
 
     The sample is bounded by `samples` texts of at most `max_sample_chars` characters for each of at
-    most `max_languages` languages, whatever the table's size; more languages are an error.
+    most `max_languages` languages, whatever the table's size; more languages are an error. A longer
+    text stands only for a bucket without a shorter one, by its first `max_sample_chars` characters,
+    so every language of the training fold is learned.
     """
     training = docs.where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -63,7 +66,7 @@ def fit(
     chosen = (
         training.groupBy("lang", F.pmod("h", F.lit(samples)).alias("bucket"))
         .agg(
-            F.min(F.when(F.length("text") <= max_sample_chars, F.col("h"))).alias("h"),
+            F.min(F.struct(F.length("text") > max_sample_chars, "h"))["h"].alias("h"),
             F.count(F.lit(1)).alias("n"),
         )
         .limit(samples * max_languages + 1)
@@ -74,15 +77,18 @@ def fit(
         counts[row.lang] = counts.get(row.lang, 0) + row.n
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    hashes = sorted({row.h for row in chosen if row.h is not None})
+    hashes = sorted({row.h for row in chosen})
     texts = (
-        training.where(F.col("h").isin(hashes) & (F.length("text") <= max_sample_chars))
-        .select("lang", "h", "text").distinct().collect()
+        training.where(F.col("h").isin(hashes))
+        .select("lang", "h", F.substring("text", 1, max_sample_chars).alias("text")).distinct().collect()
         if hashes
         else []
     )
     by_language: dict[str, list[tuple[int, str]]] = {}
+    picked = {(row.lang, row.h) for row in chosen}
     for row in texts:
+        if (row.lang, row.h) not in picked:
+            continue
         by_language.setdefault(row.lang, []).append((row.h, row.text))
     order = sorted(by_language, key=lambda name: (-counts[name], name))
     return LanguageModel(

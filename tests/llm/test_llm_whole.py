@@ -86,3 +86,16 @@ def test_narrow_margins_go_whatever_the_length_and_the_languages(spark, language
     assert len(model.dictionaries) == languages
     kept = {r.doc_id for r in language_id.keep_identified(docs, model).collect()}
     assert kept == {i for i, _, _, odd in rows if not odd}
+
+
+def test_language_of_long_texts_only_has_a_dictionary(spark):
+    rng = random.Random(4)
+    rows = [(i, spoken(rng, ["ka", "ro", "mi", "tu"], 60), "short") for i in range(60)]
+    rows += [(100 + i, spoken(rng, ["ble", "sch", "und", "ing"], 9000), "long") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(text) for _, text, lang in rows if lang == "long") > 20_000
+    model = language_id.fit(docs)
+    assert {name for name, _ in model.dictionaries} == {"short", "long"}
+    assert all(0 < len(data) <= 32_768 for _, data in model.dictionaries)
+    found = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert found == {i: lang for i, _, lang in rows}
