@@ -72,6 +72,49 @@ SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_
 FROM sized LEFT JOIN least ON least.id = doc_id
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INT) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), listed AS (
+  SELECT doc_id, list_transform(range(1, len(words) - 48), lambda i: md5(array_to_string(words[i:i + 49], ' '))) AS hs
+  FROM w
+), windows AS (SELECT doc_id, unnest(hs) AS h, generate_subscripts(hs, 1) AS i FROM listed),
+least AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY h),
+gone AS (SELECT doc_id, i FROM windows JOIN least USING (h) WHERE m < doc_id),
+each AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+marked AS (
+  SELECT each.doc_id, each.i, word,
+         coalesce(last_value(gone.i IGNORE NULLS) OVER (PARTITION BY each.doc_id ORDER BY each.i), -50) AS latest
+  FROM each LEFT JOIN gone ON gone.doc_id = each.doc_id AND gone.i = each.i
+)
+SELECT w.doc_id, count(i) AS n_words, count(*) FILTER (i < latest + 50) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (i >= latest + 50), '')) AS kept_sha256
+FROM w LEFT JOIN marked ON marked.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
 
 def secrets() -> str:
     """Places of matches: lengths of what stands between them and of themselves, summed up."""

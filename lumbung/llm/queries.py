@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import (
-    bpe, embeddings, language_id, line_dedup, minhash, oracles, packing, quality, secret_scan, spotsigs, warc,
+    bpe, embeddings, hard_negatives, language_id, line_dedup, minhash, oracles, packing, quality, secret_scan,
+    spotsigs, substring_dedup, warc, whitening,
 )
 from lumbung.functions.storage import materialize
 from lumbung.llm.common import documents
@@ -89,6 +90,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.fit(docs))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=32)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document after substring dedup: how many words went, and what is left."""
+    left = substring_dedup.dedup(documents(spark, sf_dir), window=50)
+    return left.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth vector is an anchor; every seventh has the label after its own."""
+    rows = hard_negatives.prepare(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_warc": op3_warc,
@@ -100,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 #: The others need compression, hashing, tokenizers or fitting; their tests compare with brute force.
 ORACLES: dict[str, str] = {
@@ -107,4 +130,6 @@ ORACLES: dict[str, str] = {
     "op5_secret_scan": oracles.secrets(),
     "op7_embeddings": oracles.EMBEDDINGS,
     "op8_minhash": oracles.MINHASH,
+    "op12_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
