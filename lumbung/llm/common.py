@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -19,6 +20,36 @@ import lumbung
 from lumbung.functions.storage import materialize
 
 _shipped: set[str] = set()
+_MIXERS = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: a Python worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which gives back by itself
+        pass
+
+
+def string_hashes(strings: pa.Array, seed: int) -> np.ndarray:
+    """A 64-bit hash of every string, computed over all their bytes at once."""
+    strings = strings.cast(pa.large_string())
+    ends = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    draw = np.random.default_rng(seed)
+    table = draw.integers(0, 1 << 64, 256, np.uint64)
+    step = int(draw.integers(0, 1 << 61)) * 8 + 3
+    up, down = (np.full(len(data) + 1, base, np.uint64) for base in (step, pow(step, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up), np.cumprod(down)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data] * up[:-1], out=total[1:])
+    values = (total[ends[1:]] - total[ends[:-1]]) * down[ends[:-1]] + np.diff(ends).astype(np.uint64)
+    for mixer in _MIXERS:
+        values = (values ^ (values >> np.uint64(33))) * mixer
+    return values ^ (values >> np.uint64(33))
 
 
 def ship(spark: SparkSession) -> None:
@@ -61,7 +92,7 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
                 )
-        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
+        give_back()
 
     return df.mapInArrow(over, schema)
 
@@ -94,7 +125,7 @@ def map_batches(
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(over, schema)
 
@@ -157,6 +188,7 @@ def in_squares(
                 ) else finished[0]
         if held:
             yield done()
+        give_back()
 
     return squares.repartition(*marks).sortWithinPartitions(*marks).mapInArrow(over, schema)
 

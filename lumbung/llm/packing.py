@@ -14,6 +14,7 @@ table gives an empty result. Repeated rows are packed each, as documents of thei
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,10 +28,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from lumbung.functions.storage import materialize
-from lumbung.llm.common import columns_of, map_rows, partitions_for, ship, text_slices
+from lumbung.llm.common import columns_of, map_rows, partitions_for, ship, string_hashes, text_slices
 
 #: Characters beyond plain Latin text (and the one whose lower case is two characters).
 _OTHER = r"[^\t-\r\x20-\x7e\x{a0}-\x{12f}\x{131}-\x{24f}]"
+#: Words that a worker remembers at most, at about 40 bytes each.
 _MEMO = 1_000_000
 
 
@@ -51,6 +53,35 @@ class Capacity:
             raise ValueError("a full piece must fit into an empty bin")
 
 
+class KnownWords:
+    """Token ids of words by two 64-bit hashes, in plain arrays: some forty bytes a word."""
+
+    def __init__(self) -> None:
+        self.one, self.two = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 for those not known."""
+        if not len(self.one):
+            return np.full(len(one), -1)
+        place = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        return np.where((self.one[place] == one) & (self.two[place] == two), place, -1)
+
+    def add(self, one: np.ndarray, two: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        order = np.argsort(one)
+        at = np.searchsorted(self.one, one[order])
+        self.starts = np.insert(self.starts, at, starts[order])
+        self.sizes = np.insert(self.sizes, at, sizes[order])
+        self.two = np.insert(self.two, at, two[order])
+        self.one = np.insert(self.one, at, one[order])
+
+
 class WordEncoder:
     """Token ids as the tokenizers library gives them, keeping the ids of words it has met.
 
@@ -63,7 +94,7 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         added = [token.content for token in self.whole.get_added_tokens_decoder().values() if token.content]
         self.added = "|".join(map(re.escape, added))
-        self.memo: dict[str, bytes] = {}  # ids as 32-bit integers, which a worker keeps for long
+        self.known = KnownWords()  # a worker keeps it for long
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; NULL texts have none."""
@@ -82,8 +113,8 @@ class WordEncoder:
         other = pc.match_substring_regex(texts, _OTHER)
         words = pc.ascii_split_whitespace(pc.if_else(other, texts, pc.utf8_lower(texts)))
         coded = words.flatten().dictionary_encode()
-        starts, sizes = np.empty(len(coded.dictionary), np.int64), np.empty(len(coded.dictionary), np.int64)
-        flat = self._known(coded.dictionary.to_pylist(), starts, sizes)
+        known, places = self._known(coded.dictionary)
+        starts, sizes, flat = known.starts[places], known.sizes[places], known.flat
         codes = coded.indices.to_numpy()
         counts = sizes[codes]
         before = np.concatenate([[0], np.cumsum(counts)])
@@ -92,20 +123,20 @@ class WordEncoder:
         bounds = before[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return [whole.get(at, tokens[a:b]) for at, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
-    def _known(self, words: list[str], starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Ids of distinct words one after the other; fills in where each begins and its length."""
-        memo = self.memo
-        if len(memo) > _MEMO:
-            memo.clear()
-        new = [word for word in words if word not in memo]
-        for begin in range(0, len(new), 4096):
-            part = new[begin : begin + 4096]
-            for word, coded in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False)):
-                memo[word] = np.array(coded.ids, np.uint32).tobytes()
-        lists = [memo[word] for word in words]
-        sizes[:] = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-        starts[:] = np.cumsum(sizes) - sizes
-        return np.frombuffer(b"".join(lists), np.uint32)
+    def _known(self, words: pa.Array) -> tuple[KnownWords, np.ndarray]:
+        """What is known, with all of `words` among it, and the place of each."""
+        one, two = string_hashes(words, 1), string_hashes(words, 2)
+        if len(self.known.one) + len(words) > _MEMO:
+            self.known = KnownWords()
+        new = np.flatnonzero(self.known.find(one, two) < 0)
+        for begin in range(0, len(new), 1 << 16):
+            part = new[begin : begin + (1 << 16)]
+            texts = words.take(pa.array(part)).to_pylist()
+            ids = [coded.ids for coded in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            self.known.add(one[part], two[part], sizes, flat)
+        return self.known, self.known.find(one, two)
 
 
 @functools.lru_cache(maxsize=1)
