@@ -27,11 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions.storage import materialize
-from lumbung.llm.common import components, in_squares, map_rows, spanning
+from lumbung.llm.common import components, in_squares, map_rows, spanning, text_slices
 
 WORDS = 5
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_MEMO = 500_000
+#: Words whose hashes are kept while a batch is read.
+_MEMO = 100_000
+#: Bytes of sets that count as one row when the members of a cluster are dealt into blocks.
+_ROW_BYTES = 16_384
 
 
 @dataclass(frozen=True)
@@ -103,11 +106,12 @@ def signatures(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         bands, rows = settings.bands, settings.rows
         memo: dict[bytes, int] = {}
         sizes, digests, minima = [], [], []
-        for text in batch.column("text").to_pylist():
-            values = shingles(text, memo)
-            sizes.append(len(values))
-            digests.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
-            minima.append(_minima(values, a, b))
+        for part in text_slices(batch):
+            for text in part.column("text").to_pylist():
+                values = shingles(text, memo)
+                sizes.append(len(values))
+                digests.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
+                minima.append(_minima(values, a, b))
         table = np.stack(minima)
         keys = np.empty((len(table), bands), np.uint64)
         for band in range(bands):
@@ -265,7 +269,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     heads = materialize(
         linked.join(folded.withColumnRenamed("id", "doc_id"), ["digest", "doc_id"], "left_semi")
         .dropDuplicates(["digest", "doc_id"])
-        .select("doc_id", "bands", "packed"),
+        .select("doc_id", "n_shingles", "bands", "packed"),
         "heads",
     )
     members = heads.select("doc_id", F.explode("bands").alias("key")).distinct()
@@ -298,7 +302,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     joined = components(likely.union(links)).withColumnRenamed("component", "cluster")
     touched = joined.join(likely.select(F.col("a").alias("id")), "id", "left_semi").select("cluster")
     clusters = materialize(joined.join(touched.distinct(), "cluster", "left_semi"), "clusters")
-    sized = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
+    # Blocks are bounded by rows and by bytes: long sets count as several rows.
+    bytes_ = F.ceil(F.sum(F.col("n_shingles") * 8) / _ROW_BYTES)
+    weights = (
+        clusters.join(heads.select(F.col("doc_id").alias("id"), "n_shingles"), "id")
+        .groupBy("cluster").agg(F.greatest(F.count(F.lit(1)), bytes_).cast("int").alias("n"))
+    )
+    sized = clusters.join(weights, "cluster")
     members = (
         sized.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
         .join(packed.withColumnRenamed("doc_id", "id"), "id")
