@@ -1,9 +1,15 @@
 """Line dedup: every run of lines that an earlier run of lines equals goes.
 
+Content-defined chunks of lines are the seeds: a rolling hash over line hashes chooses boundaries that
+inserted lines do not shift. Chunks of two grains are counted over all documents, those between the
+chosen boundaries and, for repeated runs that hold no whole one, chunks of one line. Seeds that occur
+more than once are grown: where they touch, they join to the longest stretch of lines that may repeat,
+and what repeats inside is decided by comparing bytes.
+
 A run counts from `min_lines` lines and `min_chars` characters on. Of the runs that are equal byte by
-byte the first by (doc_id, place) stays, and every other goes that does not overlap it. What decides
-are the shortest runs that count, from each line on and up to each line: every repeated run is made
-up of them, wherever it begins and however long it is, and equal runs have equal ones.
+byte the first by (doc_id, place) stays, and every other goes that does not overlap it. Compared are
+the shortest runs of a stretch that count, from each line on and up to each line: every repeated run
+is made up of them, however long it is, and equal runs have equal ones.
 
 Defined results: a NULL text stays NULL and an empty one empty; with `min_lines` above 1, texts
 without line breaks stay. A removed line always has an equal that stays. Rows that repeat a doc_id are
@@ -30,8 +36,8 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 def chunks(text: str, window: int = 2, divisor: int = 3) -> list[tuple[int, int, int, int]]:
     """(start, end, lines, hash) of each content-defined chunk, without its last line break.
 
-    A rolling hash over the last `window` line hashes ends a chunk where it is divisible by
-    `divisor`. A repeated run of a few lines seldom holds a whole chunk, so dedup rests on `runs`.
+    A rolling hash over the last `window` line hashes ends a chunk where it is divisible by `divisor`;
+    a divisor of 1 makes every line a chunk.
     """
     found, start, place, hashes = [], 0, 0, []
     previous: list[int] = []
@@ -53,44 +59,54 @@ def chunks(text: str, window: int = 2, divisor: int = 3) -> list[tuple[int, int,
     return found
 
 
-def runs(text: str, min_lines: int = 2, min_chars: int = 40) -> list[tuple[int, int, int]]:
-    """(start, end, hash) of the shortest runs of lines that count, from and up to each line."""
-    starts, ends, hashes, place = [], [], [], 0
+def seeds(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, hash) of the chunks of several lines and of those of one, empty lines apart."""
+    found = [(start, end, h) for start, end, lines, h in chunks(text) if lines > 1]
+    return found + [(start, end, h) for start, end, _, h in chunks(text, 1, 1) if end > start]
+
+
+def grown(text: str, spans: list[dict]) -> list[list[tuple[int, int]]]:
+    """Stretches of (start, end) of lines that lie in repeated seeds; empty lines repeat anywhere."""
+    held = united(spans)
+    stretches: list[list[tuple[int, int]]] = [[]]
+    at = place = 0
     for line in text.split("\n"):
-        starts.append(place)
-        ends.append(place + len(line))
-        hashes.append(xxhash.xxh64_intdigest(line.encode()))
-        place = ends[-1] + 1
-    count = len(starts)
-    places = set()
-    last = 0
+        start, end = place, place + len(line)
+        place = end + 1
+        while at < len(held) and held[at]["end"] < end:
+            at += 1
+        if start == end or at < len(held) and held[at]["start"] <= start:
+            stretches[-1].append((start, end))
+        elif stretches[-1]:
+            stretches.append([])
+    return stretches
+
+
+def runs(lines: list[tuple[int, int]], min_lines: int = 2, min_chars: int = 40) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of consecutive lines that count, from and up to each line."""
+    count, last = len(lines), 0
+    found = set()
     for first in range(count):
         last = max(last, first + min_lines - 1)
-        while last < count and ends[last] - starts[first] < min_chars:
+        while last < count and lines[last][1] - lines[first][0] < min_chars:
             last += 1
         if last >= count:
             break
-        places.add((first, last))
+        found.add((lines[first][0], lines[last][1]))
     first = 0
     for last in range(count):
-        if last - first + 1 < min_lines or ends[last] - starts[first] < min_chars:
+        if last - first + 1 < min_lines or lines[last][1] - lines[first][0] < min_chars:
             continue
-        while last - first >= min_lines and ends[last] - starts[first + 1] >= min_chars:
+        while last - first >= min_lines and lines[last][1] - lines[first + 1][0] >= min_chars:
             first += 1
-        places.add((first, last))
-    found = []
-    for first, last in sorted(places):
-        digest = 0
-        for value in hashes[first : last + 1]:
-            digest = ((digest ^ value) * _MULTIPLIER + 1) & _MASK
-        found.append((starts[first], ends[last], digest - (1 << 63)))
-    return found
+        found.add((lines[first][0], lines[last][1]))
+    return sorted(found)
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> DataFrame:
     """Runs to remove, which may overlap: doc_id, version (hash of the text), start, end in code points.
 
-    Hashes choose candidates and only their text moves; equality is decided on the bytes, grouped
+    Seeds choose candidates and only their text moves; equality is decided on the bytes, grouped
     by text with partial aggregates, so a passage of any frequency is one row per task.
     """
 
@@ -98,17 +114,17 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> D
         ids, versions = batch.column("doc_id").to_pylist(), batch.column("version").to_pylist()
         out: list[tuple] = []
         for doc_id, version, text in zip(ids, versions, batch.column("text").to_pylist()):
-            out += [(doc_id, version, *run) for run in runs(text, min_lines, min_chars)]
+            out += [(doc_id, version, *seed) for seed in seeds(text)]
         return columns_of(out, "doc_id", "version", "start", "end", "h")
 
     texts = docs.where("text IS NOT NULL").select("doc_id", _version().alias("version"), "text")
     rows = materialize(
-        map_rows(texts, cut, "doc_id long, version long, start long, end long, h long"), "runs"
+        map_rows(texts, cut, "doc_id long, version long, start long, end long, h long"), "seeds"
     )
     distinct = rows.distinct()
     often = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     wanted = distinct.join(often, "h", "left_semi").groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("start", "end", "h")).alias("spans")
+        F.collect_list(F.struct("start", "end")).alias("spans")
     )
 
     def read(batch: pa.RecordBatch) -> dict[str, object]:
@@ -116,10 +132,11 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> D
         for doc_id, version, text, spans in zip(
             *(batch.column(name).to_pylist() for name in ("doc_id", "version", "text", "_lb_spans"))
         ):
-            for span in spans:
-                content = text[span["start"] : span["end"]].encode()
-                out.append((doc_id, version, span["start"], span["end"], content,
-                            hashlib.blake2b(content, digest_size=16).digest()))
+            for lines in grown(text, spans):
+                for start, end in runs(lines, min_lines, min_chars):
+                    content = text[start:end].encode()
+                    digest = hashlib.blake2b(content, digest_size=16).digest()
+                    out.append((doc_id, version, start, end, content, digest))
         return columns_of(out, "doc_id", "version", "start", "end", "content", "digest")
 
     held = materialize(
@@ -132,16 +149,17 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> D
     )
     place = F.struct("doc_id", "version", "start", "end")
     # Two texts of one digest would be two rows here; then neither is touched.
-    groups = (
+    groups = materialize(
         held.groupBy("digest", "content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .groupBy("digest")
         .agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
-        .where("n > 1 AND texts = 1")
+        .where("n > 1 AND texts = 1").select("digest", "first"),
+        "firsts",
     )
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("version") == F.col("first.version"))
     return (
         held.select("digest", "doc_id", "version", "start", "end")
-        .join(groups.select("digest", "first"), "digest")
+        .join(groups, "digest")  # read from a table, so that a frequent passage is split by the skew join
         .where(~(same & (F.col("start") <= F.col("first.end"))))
         .select("doc_id", "version", "start", "end")
         .distinct()

@@ -36,18 +36,30 @@ def test_query_matches_its_sql(spark, connection, name):
     assert problem is None and count > 0
 
 
-def brute_lines(rows):
-    """Texts by doc_id without the chunks that an earlier document or place holds."""
-    seen, out = set(), {}
-    for doc_id, text in rows:
-        spans = []
-        for start, end, lines, _ in line_dedup.chunks(text):
-            content = text[start:end]
-            if lines >= 2 and end - start >= 40:
-                if content in seen:
-                    spans.append({"start": start, "end": end})
-                seen.add(content)
-        out[doc_id] = (line_dedup.without(text, spans) if spans else text, bool(spans))
+def brute_lines(rows, min_lines=2, min_chars=40):
+    """Texts by doc_id without the lines of runs that an earlier run equals, and whether any went.
+
+    A run is followed from every pair of equal lines as far as both texts agree.
+    """
+    texts = [(doc_id, text.split("\n")) for doc_id, text in sorted(rows)]
+    places, out = {}, {}
+    for at, (doc_id, lines) in enumerate(texts):
+        gone = set()
+        for i, line in enumerate(lines):
+            for other, j in places.get(line, []) + [(at, j) for j in range(i) if lines[j] == line]:
+                earlier = texts[other][1]
+                if i and j and lines[i - 1] == earlier[j - 1]:
+                    if other != at:
+                        continue  # found from the line before
+                most = min(len(lines) - i, len(earlier) - j, i - j if other == at else len(lines))
+                n = 0
+                while n < most and lines[i + n] == earlier[j + n]:
+                    n += 1
+                if n >= min_lines and len("\n".join(lines[i : i + n])) >= min_chars:
+                    gone.update(range(i, i + n))
+        for i, line in enumerate(lines):
+            places.setdefault(line, []).append((at, i))
+        out[doc_id] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), bool(gone))
     return out
 
 
