@@ -16,7 +16,7 @@ from lumbung.llm.queries import WORD_TOKENIZER
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or equally close to at least four languages, go."""
+    """Documents without a letter, or whose best language saves too little over the second, go."""
     return language_id.keep_identified(docs, language_id.fit(docs))
 
 
