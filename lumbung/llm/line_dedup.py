@@ -121,9 +121,9 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> D
     rows = materialize(
         map_rows(texts, cut, "doc_id long, version long, start long, end long, h long"), "seeds"
     )
-    distinct = rows.distinct()
-    often = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    wanted = distinct.join(often, "h", "left_semi").groupBy("doc_id", "version").agg(
+    # Rows that repeat are counted, too; that makes candidates at most, as each is its own first.
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    wanted = rows.join(often, "h", "left_semi").groupBy("doc_id", "version").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
 
@@ -141,7 +141,7 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 40) -> D
 
     held = materialize(
         map_rows(
-            _with_lists(texts, wanted, "inner").distinct(),
+            _with_lists(texts, wanted, "inner"),
             read,
             "doc_id long, version long, start long, end long, content binary, digest binary",
         ),
