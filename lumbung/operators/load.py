@@ -23,6 +23,10 @@ from lumbung.schemas import (
 _NEXT = "__next"
 # Between the name of a mart and that of one version of it.
 _VERSION = "__v"
+# Before the name of a table, that of the staging table of its changes.
+_CHANGED = "changed_"
+# What is kept of a fact's changes; of a dimension it is the key.
+CHANGE_COLUMNS = {"fact_economic": ("indicator_key", "year"), "fact_trade": ("year",)}
 
 WRITE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
@@ -37,8 +41,10 @@ class Merge:
     `update` are the columns an existing row takes over: None for all but the key, an empty
     list to leave existing rows alone. Among batch rows with one key, the last by `ordinal`
     supplies the updated columns and the first the other columns of a new row. Rows with a
-    NULL in the key conflict with nothing. Every result has the table's columns and `_n`, the
-    number of batch rows merged into the row.
+    NULL in the key conflict with nothing. Where the batch has the table's version column, that is
+    updated as well, and an existing row gives way only to one of its own or a later version; a row
+    without a version gives way to any, and one without a version replaces only such a row. Every
+    result has the table's columns and `_n`, the number of batch rows merged into the row.
     """
 
     def __init__(
@@ -54,12 +60,16 @@ class Merge:
         self.columns = [c for c in source.columns if c in spec.schema.names]
         self.others = [c for c in self.columns if c not in self.key]
         self.update = self.others if update is None else list(update)
+        self.version = spec.version if spec.version in self.columns else None
+        if self.update and self.version and self.version not in self.update:
+            self.update.append(self.version)
         self.kept = [c for c in self.others if c not in self.update]
         # Without an order, equal keys are decided by their values.
         order = F.struct(*self.others) if ordinal is None else ordinal
         order = F.col(order) if isinstance(order, str) else order
         typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in self.columns]
-        self.source = source.select(*typed, order.alias("_order"))
+        # In a struct, rows without a place come first and are not passed over.
+        self.source = source.select(*typed, F.struct(order.alias("place")).alias("_order"))
         # A key that is NOT NULL throughout leaves no rows outside the keyed merge.
         self.keyed_only = set(self.key) <= set(spec.required)
 
@@ -97,8 +107,8 @@ class Merge:
                 return F.col(field.name)
             kept = F.col(f"_old_{field.name}")
             if field.name in self.update:
-                in_batch = F.col("_n").isNotNull()
-                return F.when(in_batch, F.col(f"_last.{field.name}")).otherwise(kept)
+                taken = F.col("_n").isNotNull() & self._newer()
+                return F.when(taken, F.col(f"_last.{field.name}")).otherwise(kept)
             return F.when(F.col("_exists").isNotNull(), kept).otherwise(self._fresh(field))
 
         rows = joined.select(*[self._column(f, value(f)) for f in self.spec.schema], "_n")
@@ -109,6 +119,33 @@ class Merge:
         )
         return rows.unionByName(untouched)
 
+    def _newer(self) -> Column:
+        """Whether the batch row may replace the existing one."""
+        if not self.version or not self.update:
+            return F.lit(True)
+        old = F.col(f"_old_{self.version}")
+        return F.coalesce(old.isNull() | (F.col(f"_last.{self.version}") >= old), F.lit(False))
+
+    def changes(self, target: DataFrame, batch: DataFrame) -> DataFrame:
+        """Keys of the batch rows that are new or change an existing row.
+
+        `differs` is false where nothing but the version changes.
+        """
+        compared = [c for c in self.update if c not in self.key]
+        old = target.select(*self.key, *[F.col(c).alias(f"_old_{c}") for c in compared])
+        joined = batch.join(old.withColumn("_exists", F.lit(True)), self.key, "left")
+
+        def other(column: str) -> Column:
+            return ~F.col(f"_old_{column}").eqNullSafe(F.col(f"_last.{column}"))
+
+        values = [other(c) for c in compared if c != self.version]
+        new = F.col("_exists").isNull()
+        value = F.greatest(F.lit(False), F.lit(False), *values) & self._newer()
+        version = other(self.version) & self._newer() if self.version and compared else F.lit(False)
+        return joined.select(*self.key, (new | value).alias("differs"), (new | value | version).alias("_any")).where(
+            "_any"
+        ).drop("_any")
+
     def keyless_rows(self) -> DataFrame:
         """Batch rows with a NULL in the key, to be inserted as they are."""
 
@@ -250,7 +287,7 @@ class Warehouse:
             df = df.hint("rebalance", F.col("year"))
             if "indicator_key" in df.columns:
                 df = df.sortWithinPartitions("year", "indicator_key")
-        self._write(df, "mart", version, "errorifexists", partition_by, by_partition=False)
+        self._write(df, "mart", version, "errorifexists", partition_by)
         catalog = self.spark.catalog
         if catalog.tableExists(name) and catalog.getTable(name).tableType != "VIEW":
             self.spark.sql(f"DROP TABLE {name}")
@@ -259,6 +296,25 @@ class Warehouse:
             if table.name.startswith(f"{mart}{_VERSION}".lower()) and table.name != version.lower():
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name('mart', table.name)}")
 
+    def replace_years(self, rows: DataFrame, mart: str, years: Sequence[int]) -> None:
+        """Replace the partitions of these years of a stored mart; the others are not touched.
+
+        `rows` holds everything the mart has for the years, which may come from the mart itself.
+        """
+        version = self._version_of(mart)
+        columns = self.spark.table(version).columns
+        rows = rows.where(F.col("year").isin(list(years))).select(*columns).hint("rebalance", F.col("year"))
+        if "indicator_key" in columns:
+            rows = rows.sortWithinPartitions("year", "indicator_key")
+        rows.write.insertInto(version, overwrite=True)
+        self.spark.catalog.refreshTable(self.name("mart", mart))
+
+    def _version_of(self, mart: str) -> str:
+        """The table that a mart is a view of."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name('mart', mart)}")
+        text = described.where("col_name = 'View Text'").first()["data_type"]
+        return text.rpartition(" FROM ")[2].strip()
+
     def upsert(
         self,
         df: DataFrame,
@@ -270,7 +326,8 @@ class Warehouse:
         """Insert or update rows of a warehouse table by key; returns the input rows.
 
         Repeating a load changes nothing. See `Merge` for the semantics. Of a partitioned
-        table only the partitions that the batch touches are read and rewritten.
+        table only the partitions that the batch touches are read and rewritten, any other is
+        rewritten only if the batch changes it. What changes is noted before (see `changed`).
         """
         spec = WAREHOUSE_TABLES[table]
         merge = Merge(df, spec, key, update, ordinal)
@@ -278,39 +335,60 @@ class Warehouse:
         if not self.exists("warehouse", table):
             empty = self.spark.createDataFrame([], _all_nullable(spec.schema))
             self._write(empty, "warehouse", table, "errorifexists", spec.partition_by)
-        if self.is_empty("warehouse", table):
-            rows = merge.new_rows(merge.batch())
-            if not merge.keyed_only:
-                rows = rows.unionByName(merge.keyless_rows())
-            return self._insert(rows, table, spec)
 
-        # The batch is computed once: its partition values and its rows are both read.
+        # The batch is computed once: its partition values, its changes and its rows are all read.
         path = scratch_path(self.spark, "batch")
-        merge.batch().write.parquet(path)
+        merge.batch().write.parquet(f"{path}/rows")
         try:
-            return self._merge(merge, self.spark.read.parquet(path), table, spec)
+            return self._merge(merge, self.spark.read.parquet(f"{path}/rows"), table, spec, path)
         finally:
             discard(self.spark, path)
 
-    def _merge(self, merge: Merge, batch: DataFrame, table: str, spec: TableSpec) -> int:
+    def _merge(self, merge: Merge, batch: DataFrame, table: str, spec: TableSpec, path: str) -> int:
+        keyless = None if merge.keyed_only else merge.keyless_rows()
         if not spec.partition_by:
+            merge.changes(self.table("warehouse", table), batch).write.parquet(f"{path}/changes")
+            changed = self.spark.read.parquet(f"{path}/changes")
+            if changed.isEmpty() and (keyless is None or keyless.isEmpty()):
+                return batch.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+            self._note(changed.where("differs").select(*merge.key), table)
             rows = merge.merged_rows(self.table("warehouse", table), batch)
-            if not merge.keyed_only:
-                rows = rows.unionByName(merge.keyless_rows())
+            if keyless is not None:
+                rows = rows.unionByName(keyless)
             counted = Observation()
             rows = rows.observe(counted, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).drop("_n")
             self._swap(rows, "warehouse", table)
             return counted.get["rows"]
-        added = 0 if merge.keyed_only else self._insert(merge.keyless_rows(), table, spec)
         partition = spec.partition_by[0]
-        # At most one row per calendar year.
+        noted = [c for c in CHANGE_COLUMNS[table] if c != partition]
+        given = batch.select(*[merge.batch_value(c).alias(c) for c in (*noted, partition)])
+        if keyless is not None:
+            given = given.union(keyless.select(*noted, partition))
+        self._note(given.distinct(), table)
+        added = 0 if keyless is None else self._insert(keyless, table, spec)
+        # At most one row per calendar year: periods are checked before.
         touched = [row[0] for row in batch.select(merge.batch_value(partition)).distinct().collect()]
         if not touched:
             return added
         known = F.col(partition).isin([value for value in touched if value is not None])
         in_batch = known | F.col(partition).isNull() if None in touched else known
-        target = self.table("warehouse", table).where(in_batch)
-        return added + self._insert(merge.merged_rows(target, batch), table, spec, replace=True)
+        target = self.table("warehouse", table)
+        if not added and target.isEmpty():
+            return self._insert(merge.new_rows(batch), table, spec)
+        return added + self._insert(merge.merged_rows(target.where(in_batch), batch), table, spec, replace=True)
+
+    def _note(self, keys: DataFrame, table: str) -> None:
+        """Keep what a load is about to change until the marts have followed it."""
+        self.load(keys, "staging", _CHANGED + table)
+
+    def changed(self, table: str) -> DataFrame | None:
+        """What loads have changed in a table since the marts were last brought up to date."""
+        name = _CHANGED + table
+        return self.table("staging", name).distinct() if self.exists("staging", name) else None
+
+    def forget_changes(self) -> None:
+        for table in WAREHOUSE_TABLES:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name('staging', _CHANGED + table)}")
 
     def _insert(
         self, merged: DataFrame, table: str, spec: TableSpec, replace: bool = False

@@ -41,13 +41,13 @@ def _require(df: DataFrame, columns: Sequence[str]) -> None:
 def _conform(df: DataFrame, table: str) -> DataFrame:
     """Columns of a dimension in order and type; absent ones are NULL.
 
-    An `ordinal`, the place in the source, is carried along for the load.
+    An `ordinal`, the place in the source, is carried along for the load, which sets the version.
     """
-    present = set(df.columns)
+    present, spec = set(df.columns), DIMENSIONS[table]
     return df.select(
         *[
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in DIMENSIONS[table].schema.fields
+            for f in spec.schema.fields if f.name != spec.version or f.name in present
         ],
         *_carried(df, "ordinal"),
     )
@@ -228,9 +228,11 @@ def build_dim_country(records: DataFrame) -> DataFrame:
 def _code_dimension(records: DataFrame, entity: str) -> DataFrame:
     """One row per code with its last name in source order, the greatest one without an order."""
     code, name = F.col(f"{entity}_code").cast("string"), F.col(f"{entity}_name")
-    order = F.col("ordinal") if "ordinal" in records.columns else name
+    ordered = "ordinal" in records.columns
+    order = F.when(name.isNotNull(), F.col("ordinal") if ordered else name)
     rows = records.groupBy(code.alias(f"{entity}_code")).agg(
-        F.max_by(name, F.when(name.isNotNull(), order)).alias(f"{entity}_name")
+        F.max_by(name, order).alias(f"{entity}_name"),
+        *([F.coalesce(F.max(order), F.max("ordinal")).alias("ordinal")] if ordered else []),
     )
     return _conform(rows.withColumn(f"{entity}_key", F.col(f"{entity}_code")), f"dim_{entity}")
 

@@ -1,4 +1,8 @@
-"""The whole flow: landed responses, staging, quality gate, star schema, marts, verification."""
+"""The whole flow: landed responses, staging, quality gate, star schema, marts, verification.
+
+Both ways in, a run over what has landed (`run_pipeline`) and the stream (`streaming.ingest`), take
+responses in once and hand them to `load_responses`.
+"""
 
 from __future__ import annotations
 
@@ -8,35 +12,33 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.functions.columns import period_date_key
+from lumbung.functions.storage import discard, scratch_path
 from lumbung.operators import model, quality, staging
 from lumbung.operators.load import Warehouse
-from lumbung.plans import marts
+from lumbung.plans.lineage import trace
+from lumbung.plans.refresh import build_marts, refresh_marts
 from lumbung.sources import landing
 from lumbung.sources import responses as parsers
 
+__all__ = ["build_marts", "refresh_marts", "run_pipeline", "load_responses", "trace", "extraction_summary"]
+
 log = logging.getLogger(__name__)
 
 # Landed sources by what they hold.
 STATISTICS, REGIONS, TRADE = "dynamic_data", "domain", "foreign_trade"
 DATASETS, GLOSSARY = "simdasi", "glossary"
 
-ECONOMIC_MARTS = {
-    "indicator_trend": marts.indicator_trend,
-    "regional_performance": marts.regional_performance,
-    "economic_overview": marts.economic_overview,
-    "economic_summary": marts.economic_summary,
-}
-TRADE_MARTS = {
-    "trade_trend": marts.trade_trend,
-    "trade_regional": marts.trade_regional,
-    "trade_commodity": marts.trade_commodity,
-    "trade_partner": marts.trade_partner,
-}
 VERIFIED_TABLES = ("fact_economic", "dim_date", "dim_region", "dim_indicator")
 
 
-# Columns of the record of loaded files; `scope` tells the selections of different runs apart.
-LOADED_FILES = "source_key long, doc string, scope string, loaded_at timestamp"
+# Columns of the record of loaded files; `scope` tells the selections of different runs apart, length,
+# modified and content (a digest) one state of a file from another.
+LOADED_FILES = (
+    "source_key long, doc string, scope string, length long, modified timestamp, content string, "
+    "loaded_at timestamp"
+)
+_STATE = ("length", "modified", "content")
 
 
 @dataclass
@@ -46,6 +48,14 @@ class PipelineResult:
     row_counts: dict[str, int]
     loaded: dict[str, int] = field(default_factory=dict)
     rejected: int = 0
+    refreshed: dict[str, list[int]] = field(default_factory=dict)
+
+
+@dataclass
+class Loaded:
+    staged_rows: int = 0
+    warnings: list[str] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
 
 
 def run_pipeline(
@@ -58,14 +68,15 @@ def run_pipeline(
     plain_tree: bool = False,
     skip_rejected: bool = False,
 ) -> PipelineResult:
-    """Load every landed response that no run of this selection has loaded, and rebuild the marts.
-
-    Days are loaded in landing order, so that of equal keys the last landed wins; a response that
-    has landed anew for its day counts as new. Raises QualityError before anything reaches the
-    warehouse layer: also for responses that cannot be parsed, unless `skip_rejected` leaves them
-    out. Either way they stand in the staging table `rejected_responses` with the reason. A missing
-    region list leaves regions NULL, which the gate rejects; missing metadata leaves its dimensions
-    empty. A run that finds nothing new loads nothing.
+    """Load every landed response that no run of this selection has loaded, and refresh the marts.
+
+    Days are loaded in landing order, so that of equal keys the last landed wins, also against what
+    earlier runs have loaded. A file whose content has changed since it was loaded counts as new, one
+    that was only written again does not. Raises QualityError before anything reaches the warehouse
+    layer: also for responses that cannot be parsed, unless `skip_rejected` leaves them out; then each
+    run tries them again. Either way they stand in the staging table `rejected_responses` with the
+    reason. A missing region list leaves regions NULL, which the gate rejects; missing metadata leaves
+    its dimensions empty. A run that finds nothing new loads nothing and leaves every mart as it is.
     """
     landed = landing.read_landed(spark, landing_dir, plain_tree=plain_tree)
     listing = landing.list_landed(spark, landing_dir, plain_tree=plain_tree)
@@ -73,48 +84,42 @@ def run_pipeline(
     scope = f"{domain}|{variables or ''}|{periods or ''}"
     done = loaded_files(warehouse, scope)
     waiting = pending(listing, done)
-    todo = of_days(landed, waiting)
-    regions = domain_regions(latest_landed(landed, listing), domain)
-    rejected, broken = check_responses(warehouse, todo, skip_rejected)
-    todo = todo.join(broken, "doc", "left_anti") if rejected else todo
-    # One row per source.
-    new = {row["source"] for row in waiting.select("source").distinct().collect()}
-
-    warnings: list[str] = []
-    loaded: dict[str, int] = {}
-    staged_rows = 0
-    if STATISTICS in new or done.isEmpty():
-        staged = staging.stage(_of(todo, STATISTICS), ordered_codes(regions))
-        observed = parsers.select_observations(staged.data, variables, periods)
-        data = write_staging(warehouse, observed)
-        warnings += quality.gate(quality.mapping_check(data))
-        checked = data.select(
-            "variable_id", "vervar_id", "region_id", "year", "value", "period_type"
-        )
-        warnings += quality.gate(quality.validate(checked, context=f"var={variables}"))
-        records, more = write_trade(warehouse, todo)
-        warnings += more
-        staged_rows = data.count()
-        loaded |= load_economic(spark, warehouse, data, staged, todo, regions, domain, periods)
-    else:
-        records, more = write_trade(warehouse, todo)
-        warnings += more
-        loaded |= load_metadata(warehouse, todo, periods)
-        if GLOSSARY in new:
-            known = warehouse.table("warehouse", "dim_indicator")
-            loaded["dim_indicator"] = warehouse.upsert(enriched(warehouse, known), "dim_indicator")
-    for warning in warnings:
+    path = scratch_path(spark, "run")
+    try:
+        arrived = take_in(of_days(landed, waiting), waiting, path)
+        known = F.col("content").eqNullSafe(F.col("known_content"))
+        rejected = check_responses(warehouse, arrived.where(~known), skip_rejected)
+        accepted = arrived.where(~known & F.col("reason").isNull())
+        if done.isEmpty() and accepted.where(F.col("source") == STATISTICS).isEmpty() and not rejected:
+            raise quality.QualityError("region_mapping: nothing was staged")
+        regions = domain_regions(latest_landed(landed, listing), domain)
+        loaded = load_responses(spark, warehouse, accepted, regions, domain, variables, periods)
+        refreshed = refresh_marts(warehouse)
+        record_loaded(warehouse, arrived.where(known | F.col("reason").isNull()), scope)
+    finally:
+        discard(spark, path)
+    for warning in loaded.warnings:
         log.warning(warning)
-    loaded |= load_trade(spark, warehouse, records)
-    build_marts(warehouse)
-    record_loaded(warehouse, waiting, scope)
     counts = {
         row["table_name"]: row["rows"]
         for row in quality.load_verification(
             spark, {t: warehouse.table("warehouse", t) for t in VERIFIED_TABLES}
         ).collect()
     }
-    return PipelineResult(staged_rows, warnings, counts, loaded, rejected)
+    return PipelineResult(loaded.staged_rows, loaded.warnings, counts, loaded.rows, rejected, refreshed)
+
+
+def take_in(responses: DataFrame, files: DataFrame, path: str) -> DataFrame:
+    """Responses of the given files, read once: written with their digest and, if any, why they are rejected.
+
+    What is checked, parsed and recorded afterwards is this copy, even if a file changes meanwhile.
+    """
+    rows = responses.join(files.select("doc", "length", "modified", "known_content"), "doc").select(
+        "*", F.sha2(F.coalesce("body", F.lit("")), 256).alias("content"),
+        parsers.rejection(F.col("source"), F.col("body")).alias("reason"),
+    )
+    rows.write.partitionBy("source").parquet(f"{path}/arrived")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/arrived")
 
 
 def loaded_files(warehouse: Warehouse, scope: str | None = None) -> DataFrame:
@@ -126,17 +131,23 @@ def loaded_files(warehouse: Warehouse, scope: str | None = None) -> DataFrame:
 
 
 def record_loaded(warehouse: Warehouse, files: DataFrame, scope: str) -> None:
-    """Add landed files (doc) to the record; a file that is recorded twice does no harm."""
+    """Add files (doc, length, modified, content) to the record; one that is recorded twice does no harm."""
     rows = files.select(
-        F.xxhash64("doc").alias("source_key"), "doc", F.lit(scope).alias("scope"),
+        F.xxhash64("doc").alias("source_key"), "doc", F.lit(scope).alias("scope"), *_STATE,
         F.current_timestamp().alias("loaded_at"),
     )
     warehouse.load(rows, "staging", "loaded_files")
 
 
 def pending(listing: DataFrame, done: DataFrame) -> DataFrame:
-    """Landed files that are not among the loaded ones."""
-    return listing.join(done.select("doc"), "doc", "left_anti")
+    """Landed files that are not loaded in the state they are in, with the digest of the loaded state."""
+    known = done.groupBy("doc").agg(F.max_by(F.struct(*_STATE), "loaded_at").alias("_known"))
+    same = F.col("_known.length").eqNullSafe(F.col("length")) & F.col("_known.modified").eqNullSafe(F.col("modified"))
+    return (
+        listing.join(known, "doc", "left")
+        .where(F.col("_known").isNull() | ~same)
+        .select(*listing.columns, F.col("_known.content").alias("known_content"))
+    )
 
 
 def of_days(landed: DataFrame, files: DataFrame) -> DataFrame:
@@ -148,18 +159,85 @@ def of_days(landed: DataFrame, files: DataFrame) -> DataFrame:
     return landed.join(days, list(landing.PARTITIONS), "left_semi")
 
 
-def check_responses(
-    warehouse: Warehouse, responses: DataFrame, skip_rejected: bool
-) -> tuple[int, DataFrame]:
-    """Store which responses cannot be parsed; an error unless they may be skipped."""
-    found = parsers.rejected(responses).select("source", "dataset", "doc", "reason")
+def check_responses(warehouse: Warehouse, responses: DataFrame, skip_rejected: bool) -> int:
+    """Store which responses cannot be read; an error unless they may be skipped."""
+    found = responses.where("reason IS NOT NULL").select("source", "dataset", "doc", "reason")
     warehouse.load(found, "staging", "rejected_responses", "replace")
     broken = warehouse.table("staging", "rejected_responses")
     count = broken.count()
     if count and not skip_rejected:
         shown = [f"{row['doc']} ({row['reason']})" for row in broken.orderBy("doc").take(3)]
         raise quality.QualityError(f"{count} responses cannot be parsed: {', '.join(shown)}")
-    return count, broken.select("doc")
+    return count
+
+
+def load_responses(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    responses: DataFrame,
+    regions: DataFrame,
+    domain: str = "0000",
+    variables: str | None = None,
+    periods: str | None = None,
+    codes: Column | None = None,
+    apart: Column | None = None,
+) -> Loaded:
+    """Responses of any sources (source, doc, body) through gate and star schema, marts apart.
+
+    Nothing is loaded before every gate is passed. With `apart`, a column of that value marks rows that
+    would not pass: they are kept in `staging.rejected_observations` and `staging.rejected_trade`, and
+    the others are loaded. Loading the same responses again changes nothing.
+    """
+    # One row per source.
+    new = {row["source"] for row in responses.select("source").distinct().collect()}
+    loaded = Loaded()
+    data = records = staged = None
+    if STATISTICS in new:
+        codes = ordered_codes(regions) if codes is None else codes
+        staged = staging.stage(_of(responses, STATISTICS), codes)
+        data = write_staging(warehouse, parsers.select_observations(staged.data, variables, periods))
+        if apart is None:
+            loaded.warnings += quality.gate(quality.mapping_check(data))
+            checked = data.select("variable_id", "vervar_id", "region_id", "year", "value", "period_type")
+            loaded.warnings += quality.gate(quality.validate(checked, context=f"var={variables}"))
+        else:
+            whole = F.col("region_id").isNotNull() & F.col("year").isNotNull()
+            lost = data.where(~whole).select("doc", "place", "variable_id", "region_id", "year", apart)
+            _keep(warehouse, lost, "rejected_observations")
+            data = data.where(whole)
+    if TRADE in new:
+        records = write_trade(warehouse, responses)
+        if apart is None:
+            loaded.warnings += quality.gate(quality.trade_checks(records))
+        else:
+            keyed = [F.col(c).isNotNull() for c in ("trade_type", "commodity_code", "country_code", "port_code")]
+            whole = F.least(period_date_key(F.col("period")).isNotNull(), *keyed)
+            lost = records.where(~whole).select("doc", "position", "trade_type", "commodity_code", "period", apart)
+            _keep(warehouse, lost, "rejected_trade")
+            records = records.where(whole)
+
+    if DATASETS in new:
+        loaded.rows["dim_dataset"] = load_datasets(warehouse, responses, periods)
+    if GLOSSARY in new:
+        loaded.rows["dim_glossary"] = load_glossary(warehouse, responses)
+    if {STATISTICS, REGIONS} & new:
+        dim_region = model.dim_region_for_domain(spark, domain, regions)
+        loaded.rows["dim_region"] = warehouse.upsert(dim_region, "dim_region")
+    if GLOSSARY in new:
+        # New texts reach indicators of earlier loads.
+        known = warehouse.table("warehouse", "dim_indicator")
+        loaded.rows["dim_indicator"] = warehouse.upsert(enriched(warehouse, known), "dim_indicator")
+    if data is not None:
+        loaded.staged_rows = data.count()
+        loaded.rows |= load_economic(warehouse, data, staged.described)
+    if records is not None:
+        loaded.rows |= load_trade(spark, warehouse, records)
+    return loaded
+
+
+def _keep(warehouse: Warehouse, rows: DataFrame, table: str) -> None:
+    """Replace the rows of one batch in a table of what was left out."""
+    warehouse.load(rows, "staging", table, "replace", partition_by=["batch"])
 
 
 def latest_landed(landed: DataFrame, listing: DataFrame) -> DataFrame:
@@ -216,24 +294,17 @@ def landing_order(place: str) -> Column:
     return F.struct(landing.landed_day(F.col("doc")).alias("day"), "doc", place)
 
 
-def load_economic(
-    spark: SparkSession,
-    warehouse: Warehouse,
-    data: DataFrame,
-    staged: staging.Staged,
-    landed: DataFrame,
-    regions: DataFrame,
-    domain: str,
-    periods: str | None,
-) -> dict[str, int]:
-    loaded = load_metadata(warehouse, landed, periods)
-    described = staged.described.withColumn("ordinal", landing_order("position"))
-    indicators = enriched(warehouse, model.dim_indicator_from_staged(described))
-    dim_region = model.dim_region_for_domain(spark, domain, regions)
-    return loaded | {
+def versioned(rows: DataFrame) -> DataFrame:
+    """The landing day of each row's place in the source, by which loads tell older from newer."""
+    return rows.withColumn("source_day", F.col("ordinal.day"))
+
+
+def load_economic(warehouse: Warehouse, data: DataFrame, described: DataFrame) -> dict[str, int]:
+    described = described.withColumn("ordinal", landing_order("position"))
+    indicators = versioned(enriched(warehouse, model.dim_indicator_from_staged(described)))
+    return {
         "dim_date": warehouse.upsert(model.build_dim_date(data), "dim_date"),
         "dim_indicator": warehouse.upsert(indicators, "dim_indicator", ordinal="ordinal"),
-        "dim_region": warehouse.upsert(dim_region, "dim_region"),
         "fact_economic": load_fact_economic(warehouse, data),
     }
 
@@ -244,49 +315,38 @@ def enriched(warehouse: Warehouse, indicators: DataFrame) -> DataFrame:
     return model.enrich_indicators(indicators, warehouse.table("warehouse", "dim_glossary"), order)
 
 
-def load_metadata(
-    warehouse: Warehouse, landed: DataFrame, periods: str | None
-) -> dict[str, int]:
-    """Datasets and glossary entries; of equal ids the last landed wins."""
-    datasets = parsers.dataset_records(_of(landed, DATASETS)).withColumn(
-        "ordinal", landing_order("position")
-    )
-    glossary = parsers.glossary_records(_of(landed, GLOSSARY)).withColumn(
-        "ordinal", landing_order("position")
-    )
-    return {
-        "dim_dataset": warehouse.upsert(
-            model.build_dim_dataset(datasets, periods), "dim_dataset", ordinal="ordinal"
-        ),
-        "dim_glossary": warehouse.upsert(
-            model.build_dim_glossary(glossary), "dim_glossary", ordinal="ordinal"
-        ),
-    }
+def load_datasets(warehouse: Warehouse, responses: DataFrame, periods: str | None) -> int:
+    """Dataset metadata; of equal ids the last landed wins."""
+    records = parsers.dataset_records(_of(responses, DATASETS)).withColumn("ordinal", landing_order("position"))
+    return warehouse.upsert(versioned(model.build_dim_dataset(records, periods)), "dim_dataset", ordinal="ordinal")
+
+
+def load_glossary(warehouse: Warehouse, responses: DataFrame) -> int:
+    """Glossary entries; of equal ids the last landed wins."""
+    records = parsers.glossary_records(_of(responses, GLOSSARY)).withColumn("ordinal", landing_order("position"))
+    return warehouse.upsert(versioned(model.build_dim_glossary(records)), "dim_glossary", ordinal="ordinal")
 
 
 def load_fact_economic(warehouse: Warehouse, data: DataFrame) -> int:
     """Upsert staged observations; of equal grains the last in source order wins.
 
-    The value and the file it came from are taken over together.
+    The value, the file it came from and its day are taken over together.
     """
     return warehouse.upsert(
-        model.build_fact_economic(data), "fact_economic", update=["value", "source_key"],
+        versioned(model.build_fact_economic(data)), "fact_economic", update=["value", "source_key"],
         ordinal="ordinal",
     )
 
 
-def write_trade(warehouse: Warehouse, landed: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Store trade records, so that the loads do not parse them again, and pass them by the gate."""
+def write_trade(warehouse: Warehouse, landed: DataFrame) -> DataFrame:
+    """Store trade records, so that gate and loads do not parse them again."""
     parsed = parsers.trade_records(_of(landed, TRADE)).withColumn("source_key", F.xxhash64("doc"))
     warehouse.load(parsed, "staging", "trade_records", "replace")
-    records = warehouse.table("staging", "trade_records").withColumn(
-        "ordinal", landing_order("position")
-    )
-    return records, quality.gate(quality.trade_checks(records))
+    return warehouse.table("staging", "trade_records").withColumn("ordinal", landing_order("position"))
 
 
 def load_trade(spark: SparkSession, warehouse: Warehouse, records: DataFrame) -> dict[str, int]:
-    fact = model.build_fact_trade(records)
+    fact = versioned(model.build_fact_trade(records))
     products = records.select(
         F.col("commodity_code").alias("product_code"),
         F.col("commodity_name").alias("product_name"), "ordinal",
@@ -295,8 +355,8 @@ def load_trade(spark: SparkSession, warehouse: Warehouse, records: DataFrame) ->
     # A date that annual data has loaded already stays as it is.
     return {
         "trade_dates": warehouse.upsert(dates, "dim_date", update=[]),
-        "dim_product": warehouse.upsert(model.build_dim_product(products), "dim_product"),
-        "dim_country": warehouse.upsert(model.build_dim_country(records), "dim_country"),
+        "dim_product": warehouse.upsert(versioned(model.build_dim_product(products)), "dim_product"),
+        "dim_country": warehouse.upsert(versioned(model.build_dim_country(records)), "dim_country"),
         "dim_trade_flow": warehouse.upsert(model.build_dim_trade_flow(spark), "dim_trade_flow"),
         "fact_trade": warehouse.upsert(
             fact, "fact_trade", update=["value_usd", "net_weight_kg", "source_key"],
@@ -309,32 +369,6 @@ def _of(landed: DataFrame, source: str) -> DataFrame:
     return landed.where(F.col("source") == source).select("doc", "body")
 
 
-def build_marts(warehouse: Warehouse) -> None:
-    """Rebuild every mart; those that compare others read them as they were just stored."""
-    economic, trade = warehouse.economic_star(), warehouse.trade_star()
-    for name, mart in ECONOMIC_MARTS.items():
-        warehouse.build_mart(mart(economic), name)
-    for name, mart in TRADE_MARTS.items():
-        warehouse.build_mart(mart(trade), name)
-    divergence = marts.divergence(
-        warehouse.table("mart", "indicator_trend"), warehouse.table("mart", "regional_performance")
-    )
-    warehouse.build_mart(divergence, "growth_divergence")
-    bridge = marts.economic_trade_bridge(
-        warehouse.table("mart", "economic_overview"), warehouse.table("mart", "trade_trend")
-    )
-    warehouse.build_mart(bridge, "economic_trade_bridge")
-
-
-def trace(fact: DataFrame, files: DataFrame) -> DataFrame:
-    """Fact rows with the landed file that their value comes from.
-
-    `files` has source_key and doc, as `loaded_files` and the staged rows do.
-    """
-    sources = files.groupBy("source_key").agg(F.max("doc").alias("doc"))
-    return fact.join(sources, "source_key", "left")
-
-
 def extraction_summary(data: DataFrame) -> DataFrame:
     """What a load brought: national totals, the latest year by region, and counts.
 

@@ -32,6 +32,8 @@ def _schema(required: str = "", **columns: T.DataType) -> T.StructType:
 class TableSpec:
     """Columns, natural key, further unique keys, partitioning and column defaults of a table.
 
+    `version` names the column by which an existing row is older or newer than one that is loaded.
+
     `surrogate` names a generated key: a hash of the natural key, so it is the same in every
     run. A column `loaded_at` defaults to the time of the load.
     """
@@ -42,6 +44,7 @@ class TableSpec:
     partition_by: tuple[str, ...] = ()
     surrogate: str | None = None
     defaults: tuple[tuple[str, str], ...] = ()
+    version: str | None = None
 
     @property
     def required(self) -> list[str]:
@@ -90,9 +93,10 @@ DIMENSIONS = {
             indicator_key=STRING, indicator_code=STRING, indicator_name=STRING,
             subject_name=STRING, category_name=STRING, unit=STRING, frequency=STRING,
             concept=STRING, definition=STRING, classification=STRING, measure=STRING,
-            data_source=STRING, aggregation_method=STRING,
+            data_source=STRING, aggregation_method=STRING, source_day=INT,
         ),
         key=("indicator_key",),
+        version="source_day",
         unique=(("indicator_code", "indicator_name"),),
         defaults=(("aggregation_method", "SUM"),),
     ),
@@ -108,27 +112,35 @@ DIMENSIONS = {
     "dim_dataset": TableSpec(
         _schema(
             dataset_key=LONG, table_id=STRING, table_code=STRING, title=STRING,
-            subject=STRING, available_years=STRING, source_system=STRING,
+            subject=STRING, available_years=STRING, source_system=STRING, source_day=INT,
         ),
         key=("table_id",),
+        version="source_day",
         defaults=(("source_system", SOURCE_SYSTEM),),
     ),
     "dim_glossary": TableSpec(
         _schema(
             glossary_key=LONG, glossary_id=STRING, indicator_name=STRING, concept=STRING,
             definition=STRING, classification=STRING, measure=STRING, unit=STRING,
-            data_source=STRING, endpoint=STRING,
+            data_source=STRING, endpoint=STRING, source_day=INT,
         ),
         key=("glossary_id",),
+        version="source_day",
     ),
     "dim_product": TableSpec(
-        _schema("product_key", product_key=STRING, product_code=STRING, product_name=STRING),
+        _schema(
+            "product_key", product_key=STRING, product_code=STRING, product_name=STRING, source_day=INT,
+        ),
         key=("product_key",),
+        version="source_day",
         unique=(("product_code",),),
     ),
     "dim_country": TableSpec(
-        _schema("country_key", country_key=STRING, country_code=STRING, country_name=STRING),
+        _schema(
+            "country_key", country_key=STRING, country_code=STRING, country_name=STRING, source_day=INT,
+        ),
         key=("country_key",),
+        version="source_day",
         unique=(("country_code",),),
     ),
     "dim_trade_flow": TableSpec(
@@ -144,9 +156,10 @@ FACTS = {
         _schema(
             "date_key region_key indicator_key",
             fact_key=LONG, date_key=INT, region_key=STRING, indicator_key=STRING,
-            value=VALUE, source_key=LONG, loaded_at=STAMP, year=INT,
+            value=VALUE, source_key=LONG, source_day=INT, loaded_at=STAMP, year=INT,
         ),
         key=ECONOMIC_GRAIN,
+        version="source_day",
         surrogate="fact_key",
         partition_by=("year",),
     ),
@@ -154,9 +167,10 @@ FACTS = {
         _schema(
             trade_key=LONG, date_key=INT, product_key=STRING, country_key=STRING,
             port_key=STRING, trade_type=STRING, value_usd=MONEY, net_weight_kg=MONEY,
-            source_key=LONG, loaded_at=STAMP, year=INT,
+            source_key=LONG, source_day=INT, loaded_at=STAMP, year=INT,
         ),
         key=TRADE_GRAIN,
+        version="source_day",
         surrogate="trade_key",
         partition_by=("year",),
     ),

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 LANDED_SCHEMA = (
     "doc string, source string, dataset string, year int, month int, day int, body string"
 )
-LISTING_SCHEMA = "doc string, source string, dataset string, year int, month int, day int"
+LISTING_SCHEMA = (
+    "doc string, source string, dataset string, year int, month int, day int, length long, modified timestamp"
+)
 PARTITIONS = ("source", "dataset", "year", "month", "day")
 
 # File name and path pattern of the plain tree.
@@ -65,6 +67,11 @@ def _column(ordinal: str | Column) -> Column:
     return F.col(ordinal) if isinstance(ordinal, str) else ordinal
 
 
+def file_name() -> Column:
+    """File of a row as `doc`, spelled as a listing spells it: the metadata escapes its characters."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("doc")
+
+
 def read_landed(
     spark: SparkSession, base: str, source: str | None = None, plain_tree: bool = False
 ) -> DataFrame:
@@ -77,9 +84,7 @@ def read_landed(
             .text(base, wholetext=True)
         )
         rows = rows if source is None else rows.where(F.col("source") == source)
-        return rows.select(
-            F.col("_metadata.file_path").alias("doc"), *PARTITIONS, F.col("value").alias("body")
-        )
+        return rows.select(file_name(), *PARTITIONS, F.col("value").alias("body"))
     except AnalysisException as error:
         return _empty_if_missing(spark, error, LANDED_SCHEMA)
 
@@ -92,7 +97,7 @@ def _read_plain(spark: SparkSession, base: str, source: str | None) -> DataFrame
             recursiveFileLookup=True,
             pathGlobFilter=PLAIN_FILE,
         )
-        .select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("body"))
+        .select(file_name(), F.col("value").alias("body"))
     )
     return rows.select("doc", *_path_parts(F.col("doc"), _PLAIN_PATH), "body")
 
@@ -120,17 +125,18 @@ def landed_day(doc: Column) -> Column:
 def list_landed(
     spark: SparkSession, base: str, source: str | None = None, plain_tree: bool = False
 ) -> DataFrame:
-    """Landed files in path order, found without reading their content."""
+    """Landed files in path order with length and time of change, found without reading them."""
     reader = spark.read.format("binaryFile")
+    seen = ("length", F.col("modificationTime").alias("modified"))
     try:
         if plain_tree:
             files = reader.load(base, recursiveFileLookup=True, pathGlobFilter=PLAIN_FILE)
             placed = files.select(
-                F.col("path").alias("doc"), *_path_parts(F.col("path"), _PLAIN_PATH)
+                F.col("path").alias("doc"), *_path_parts(F.col("path"), _PLAIN_PATH), *seen
             )
         else:
             files = reader.schema(_FILE_SCHEMA).load(base)
-            placed = files.select(F.col("path").alias("doc"), *PARTITIONS)
+            placed = files.select(F.col("path").alias("doc"), *PARTITIONS, *seen)
     except AnalysisException as error:
         return _empty_if_missing(spark, error, LISTING_SCHEMA)
     if source is not None:

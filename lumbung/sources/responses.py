@@ -149,11 +149,46 @@ def glossary_records(responses: DataFrame) -> DataFrame:
     return _records(responses, GLOSSARY_FIELDS)
 
 
+# The field that holds what a source delivers, and its kinds of JSON.
+PAYLOADS = {
+    "dynamic_data": ("$.datacontent", ("ARRAY", "OBJECT")),
+    "foreign_trade": ("$.data", ("ARRAY",)),
+    "glossary": ("$.data", ("ARRAY",)),
+    "simdasi": ("$.data", ("ARRAY",)),
+}
+REGION_SOURCE = "domain"
+
+
+def rejection(source: Column, body: Column) -> Column:
+    """Why a response of a source cannot be read; NULL where it can.
+
+    It is empty, no JSON, or JSON without the payload that the parsers of its source look for. Of
+    other sources only the first two are known.
+    """
+    parsed = F.try_parse_json(body)
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+
+    def lacks(path: str, kinds: tuple[str, ...]) -> Column:
+        found = [F.startswith(kind(path), F.lit(name)) for name in kinds]
+        return ~F.coalesce(F.greatest(F.lit(False), F.lit(False), *found), F.lit(False))
+
+    reason = F.when(body.isNull() | (strip(body) == ""), "empty").when(parsed.isNull(), "no JSON")
+    for name, (path, kinds) in PAYLOADS.items():
+        reason = reason.when((source == name) & lacks(path, kinds), f"no {path.removeprefix('$.')}")
+    listed_regions = ~lacks("$", ("ARRAY",)) | ~lacks("$.data", ("ARRAY",))
+    return reason.when((source == REGION_SOURCE) & ~listed_regions, "no region list")
+
+
 def rejected(responses: DataFrame) -> DataFrame:
-    """Responses that no parser can read, with the reason; the other columns as they are."""
+    """Responses that no parser can read, with the reason; the other columns as they are.
+
+    Without a column `source`, whether a response is JSON is all that is asked.
+    """
     kept = [c for c in responses.columns if c != "body"]
-    blank = F.col("body").isNull() | (strip(F.col("body")) == "")
-    reason = F.when(blank, "empty").when(F.try_parse_json("body").isNull(), "no JSON")
+    source = F.col("source") if "source" in responses.columns else F.lit(None).cast("string")
+    reason = rejection(source, F.col("body"))
     return responses.select(*kept, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 

@@ -1,4 +1,4 @@
-"""Incremental ingest: new landed statistics through the whole flow, each file once."""
+"""Incremental ingest: new landed responses of all sources through the whole flow, each file once."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.functions.storage import discard, scratch_path
-from lumbung.operators import model, staging
+from lumbung.operators import model
 from lumbung.operators.load import Warehouse
 from lumbung.plans import pipeline
-from lumbung.plans.pipeline import STATISTICS
+from lumbung.sources import landing
 from lumbung.sources import responses as parsers
 
 _STREAM_SCHEMA = (
@@ -22,14 +22,13 @@ _STREAM_SCHEMA = (
 def landed_stream(
     spark: SparkSession, landing_dir: str, max_files: int | None = None
 ) -> DataFrame:
-    """Landed statistics as a stream of whole files; `max_files` bounds a micro-batch."""
+    """Landed responses of every source as a stream of whole files; `max_files` bounds a micro-batch."""
     reader = spark.readStream.format("text").schema(_STREAM_SCHEMA).option("wholetext", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return (
-        reader.load(landing_dir)
-        .where(F.col("source") == STATISTICS)
-        .select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("body"))
+    return reader.load(landing_dir).select(
+        landing.file_name(), "source", "dataset", F.col("value").alias("body"),
+        F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
@@ -42,51 +41,52 @@ def ingest_available(
     max_files: int | None = None,
     regions: DataFrame | None = None,
     rebuild_marts: bool = True,
+    domain: str = "0000",
+    periods: str | None = None,
 ) -> None:
-    """Take what statistics have landed since the last run through the whole flow, then stop.
+    """Take what has landed since the last run through the whole flow, then stop.
 
-    Dates, indicators, the `regions` given (region_code, region_name) and the fact are upserted,
-    then the marts rebuilt. A batch that is run again after a failure upserts the same keys in the
-    same order, which leaves the tables as they were. What cannot be loaded is stored with its file
-    and the batch: responses that cannot be parsed in `staging.rejected_responses`, observations
-    without region or year in `staging.rejected_observations`, both replaced batch by batch.
+    Every batch is split by source and upserted by key: statistics, trade, datasets, glossary entries
+    and region lists; an existing row gives way only to one that landed on its day or later, so the
+    order of batches does not matter. A batch that is run again after a failure leaves the tables as
+    they were. Values map to `region_codes`, or else to the latest landed region list of `domain`;
+    `regions` (region_code, region_name) are upserted besides. What cannot be loaded is stored with its
+    file and the batch: responses in `staging.rejected_responses`, observations without region or year
+    in `staging.rejected_observations`, trade records without a period or key in
+    `staging.rejected_trade`, all replaced batch by batch. Marts are refreshed once, after the last
+    batch, and only where batches have changed something.
     """
-    if regions is not None:
-        warehouse.upsert(model.build_dim_region(regions), "dim_region")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         label = F.lit(f"batch {batch_id}").alias("batch")
-        staged = staging.stage(batch, region_codes)
-        data = staged.data.withColumn("source_key", F.xxhash64("doc")).withColumn(
-            "place", F.col("ordinal.place")
-        )
-        # A batch has a session of its own; what it holds is computed once and handed over to the
-        # warehouse's session.
+        # A batch has a session of its own; it is read once and handed over to the warehouse's.
         path = scratch_path(spark, "batch")
-        parts = {
-            "files": batch.select("doc"), "rejected": parsers.rejected(batch).select("doc", "reason", label),
-            "described": staged.described, "data": data.drop("ordinal"),
-        }
-        for name, part in parts.items():
-            part.write.parquet(f"{path}/{name}")
         try:
-            files, rejected, described, data = (spark.read.parquet(f"{path}/{name}") for name in parts)
-            _keep(warehouse, rejected, "rejected_responses")
-            data = data.withColumn("ordinal", pipeline.landing_order("place"))
-            described = described.withColumn("ordinal", pipeline.landing_order("position"))
-            whole = F.col("region_id").isNotNull() & F.col("year").isNotNull()
-            lost = data.where(~whole).select("doc", "place", "variable_id", "region_id", "year", label)
-            _keep(warehouse, lost, "rejected_observations")
-            data = data.where(whole)
-            warehouse.upsert(model.build_dim_date(data), "dim_date")
-            indicators = model.dim_indicator_from_staged(described)
-            warehouse.upsert(pipeline.enriched(warehouse, indicators), "dim_indicator", ordinal="ordinal")
-            pipeline.load_fact_economic(warehouse, data)
-            pipeline.record_loaded(warehouse, files, "stream")
+            rows = batch.withColumns({
+                "content": F.sha2(F.coalesce("body", F.lit("")), 256),
+                "reason": parsers.rejection(F.col("source"), F.col("body")),
+            })
+            rows.write.partitionBy("source").parquet(f"{path}/arrived")
+            arrived = spark.read.schema(rows.schema).parquet(f"{path}/arrived")
+            rejected = arrived.where("reason IS NOT NULL").select("source", "dataset", "doc", "reason", label)
+            warehouse.load(rejected, "staging", "rejected_responses", "replace", partition_by=["batch"])
+            accepted = arrived.where("reason IS NULL")
+            pipeline.load_responses(
+                spark, warehouse, accepted, listed(), domain, periods=periods, codes=region_codes, apart=label
+            )
+            pipeline.record_loaded(warehouse, accepted, "stream")
         finally:
             discard(spark, path)
 
+    def listed() -> DataFrame:
+        """The regions of the domain by the lists landed so far."""
+        lists = landing.read_landed(spark, landing_dir, pipeline.REGIONS)
+        files = landing.list_landed(spark, landing_dir, pipeline.REGIONS)
+        return pipeline.domain_regions(pipeline.latest_landed(lists, files), domain)
+
     warehouse.create_tables()
+    if regions is not None:
+        warehouse.upsert(model.build_dim_region(regions), "dim_region")
     query = (
         landed_stream(spark, landing_dir, max_files)
         .writeStream.foreachBatch(upsert)
@@ -96,9 +96,4 @@ def ingest_available(
     )
     query.awaitTermination()
     if rebuild_marts:
-        pipeline.build_marts(warehouse)
-
-
-def _keep(warehouse: Warehouse, rows: DataFrame, table: str) -> None:
-    """Replace the rows of one batch in a table of what was left out."""
-    warehouse.load(rows, "staging", table, "replace", partition_by=["batch"])
+        pipeline.refresh_marts(warehouse)
