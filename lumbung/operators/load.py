@@ -336,6 +336,12 @@ class Warehouse:
             empty = self.spark.createDataFrame([], _all_nullable(spec.schema))
             self._write(empty, "warehouse", table, "errorifexists", spec.partition_by)
 
+        if self.is_empty("warehouse", table) and not self._has_marts():
+            rows = merge.new_rows(merge.batch())
+            if not merge.keyed_only:
+                rows = rows.unionByName(merge.keyless_rows())
+            return self._insert(rows, table, spec)
+
         # The batch is computed once: its partition values, its changes and its rows are all read.
         path = scratch_path(self.spark, "batch")
         merge.batch().write.parquet(f"{path}/rows")
@@ -377,9 +383,15 @@ class Warehouse:
             return self._insert(merge.new_rows(batch), table, spec)
         return added + self._insert(merge.merged_rows(target.where(in_batch), batch), table, spec, replace=True)
 
+    def _has_marts(self) -> bool:
+        """Whether there are marts that have to follow a load; the first are built from everything."""
+        database = f"{self.prefix}mart"
+        return self.spark.catalog.databaseExists(database) and not self.spark.sql(f"SHOW VIEWS IN {database}").isEmpty()
+
     def _note(self, keys: DataFrame, table: str) -> None:
         """Keep what a load is about to change until the marts have followed it."""
-        self.load(keys, "staging", _CHANGED + table)
+        if self._has_marts():
+            self.load(keys, "staging", _CHANGED + table)
 
     def changed(self, table: str) -> DataFrame | None:
         """What loads have changed in a table since the marts were last brought up to date."""

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lumbung.functions.columns import (
     constant_rows,
@@ -295,9 +294,3 @@ def region_codes_by_domain(regions: DataFrame) -> DataFrame:
     return regions.groupBy("domain").agg(
         F.transform(F.sort_array(F.collect_list(pair)), lambda p: p["code"]).alias("region_codes")
     )
-
-
-def empty_dimension(spark: SparkSession, table: str) -> DataFrame:
-    """Typed empty table, for metadata sources that have nothing landed."""
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in DIMENSIONS[table].schema])
-    return spark.createDataFrame([], schema)
