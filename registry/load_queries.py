@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.functions.storage import scratch_path
+from lumbung.functions.storage import materialize, scratch_path
 from lumbung.operators import staging
 from lumbung.operators.load import Warehouse
-from lumbung.plans import marts, pipeline
+from lumbung.plans import lineage, marts, pipeline
 from lumbung.sources import landing
+from lumbung.streaming import ingest
 from registry import adapters
-from registry.adapters import ECONOMIC, ECONOMIC_FACT, TRADE_FACT
-from registry.catalog import register
+from registry.adapters import ECONOMIC, ECONOMIC_FACT, GLOSSARY_SQL, TRADE_FACT
+from registry.catalog import ORACLES, register
 from registry.mart_queries import TREND_SQL
 from registry.source_queries import DAY, landed_wide
 
@@ -204,55 +208,216 @@ def k09(spark, sf_dir):
     )
 
 
-def landed_everything(spark: SparkSession, sf_dir: str) -> str:
-    """All five sources landed; the statistics are keyed, so regions have four-digit codes."""
-    base = scratch_path(spark, "landing")
+def everything(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Responses (doc, body) of all five sources; the statistics are keyed, so regions have four-digit codes."""
     nations = F.sort_array(
         F.collect_list(
             F.struct(adapters.four_digit_code("region_code").alias("kode"), F.col("region_name").alias("nama"))
         )
     )
     provinces = adapters.regions(spark, sf_dir).agg(F.to_json(nations).alias("body"))
-    sources = {
+    return {
         "dynamic_data": adapters.keyed_responses(spark, sf_dir),
         "domain": provinces.withColumn("doc", F.lit("prov")),
         "glossary": adapters.glossary_responses(spark, sf_dir),
         "simdasi": adapters.dataset_responses(spark, sf_dir),
         "foreign_trade": adapters.port_responses(spark, sf_dir),
     }
-    for source, responses in sources.items():
-        rows = responses.select(
-            F.lit(source).alias("source"), F.col("doc").alias("dataset"), F.lit(DAY).alias("landed_on"), "body"
+
+
+def land(base: str, sources: dict[str, DataFrame], day: datetime.date = DAY) -> None:
+    parts = [
+        responses.select(
+            F.lit(source).alias("source"), F.col("doc").alias("dataset"), F.lit(day).alias("landed_on"), "body"
         )
-        landing.land_responses(rows, base)
-    return base
+        for source, responses in sources.items()
+    ]
+    landing.land_responses(reduce(DataFrame.union, parts), base)
+
+
+#: How a mart is told in the long format of `every_mart`: its text keys, and its numbers.
+_TOLD = {
+    "indicator_trend": (["indicator_name"], ["national_value", "previous_value", "growth_pct"]),
+    "regional_performance": (["region_name", "indicator_name"], ["value", "regional_rank", "previous_value", "growth_pct"]),
+    "economic_overview": (
+        ["indicator_name", "concept"], ["national_value", "previous_national_value", "national_growth_pct", "region_count"],
+    ),
+    "economic_summary": (["region_name", "indicator_name"], ["avg_value"]),
+    "growth_divergence": (
+        ["indicator_name", "top_region", "bottom_region"], ["national_growth_pct", "top_growth_pct", "bottom_growth_pct"],
+    ),
+    "trade_trend": (["trade_flow"], ["total_value_usd", "total_weight_kg", "transaction_count"]),
+    "trade_regional": (["port_key", "trade_type"], ["value_usd", "weight_kg", "record_count"]),
+    "trade_commodity": (["trade_flow", "product_code"], ["total_value_usd", "total_weight_kg", "commodity_rank"]),
+    "trade_partner": (["trade_flow", "country_code"], ["total_value_usd", "partner_rank"]),
+    "economic_trade_bridge": (
+        [], ["national_value", "national_growth_pct", "export_total_usd", "import_total_usd", "trade_balance_usd"],
+    ),
+}
+_NUMBERS = ("a", "b", "c", "d", "e")
+
+
+def every_mart(house: Warehouse) -> DataFrame:
+    """All ten marts in one long format: mart, year, item (its text keys), up to five numbers."""
+    parts = []
+    for mart, (keys, numbers) in _TOLD.items():
+        given = [*numbers, *[None] * (len(_NUMBERS) - len(numbers))]
+        told = [
+            (F.lit(None) if n is None else F.round(n, 6) if n == "avg_value" else F.col(n)).cast("double").alias(name)
+            for name, n in zip(_NUMBERS, given)
+        ]
+        item = F.concat_ws("|", *keys) if keys else F.lit("")
+        parts.append(house.table("mart", mart).select(F.lit(mart).alias("mart"), "year", item.alias("item"), *told))
+    return reduce(DataFrame.union, parts)
+
+
+# Facts of `everything`: a year, country, port and flow of all products together.
+_YEARLY = f"""
+    SELECT year, 'ALL' AS product_code, country_key AS country_code, port_key, trade_type,
+           CASE trade_type WHEN 'ekspor' THEN 'Ekspor' ELSE 'Impor' END AS trade_flow,
+           SUM(value_usd) AS usd, SUM(net_weight_kg) AS kg
+    FROM (WITH {TRADE_FACT} SELECT * FROM x_fact) GROUP BY ALL"""
+
+
+def _trade_sums(keys: str, more: str) -> str:
+    return f"SELECT year, {keys}, {more} FROM ({_YEARLY}) GROUP BY year, {keys}"
+
+
+_MART_SQL = {
+    "indicator_trend": ORACLES["m01_indicator_trend"],
+    "regional_performance": ORACLES["m02_regional_performance"],
+    "economic_overview": ORACLES["m03_economic_overview"],
+    "economic_summary": ORACLES["m04_economic_summary"],
+    "growth_divergence": ORACLES["m05_growth_divergence"],
+    "trade_trend": _trade_sums(
+        "trade_flow", "SUM(usd) AS total_value_usd, SUM(kg) AS total_weight_kg, COUNT(*) AS transaction_count"
+    ),
+    "trade_regional": _trade_sums(
+        "port_key, trade_type", "SUM(usd) AS value_usd, SUM(kg) AS weight_kg, COUNT(*) AS record_count"
+    ),
+    "trade_commodity": _trade_sums(
+        "trade_flow, product_code", "SUM(usd) AS total_value_usd, SUM(kg) AS total_weight_kg, 1 AS commodity_rank"
+    ),
+    "trade_partner": _trade_sums(
+        "trade_flow, country_code",
+        "SUM(usd) AS total_value_usd, RANK() OVER (PARTITION BY year, trade_flow ORDER BY SUM(usd) DESC) AS partner_rank",
+    ),
+    "economic_trade_bridge": ORACLES["m10_economic_trade_bridge"],
+}
+
+
+def _told_sql(mart: str) -> str:
+    keys, numbers = _TOLD[mart]
+    item = f"concat_ws('|', {', '.join(keys)})" if keys else "''"
+    given = [*numbers, *["NULL"] * (len(_NUMBERS) - len(numbers))]
+    told = ", ".join(f"CAST({n} AS DOUBLE) AS {name}" for name, n in zip(_NUMBERS, given))
+    return f"SELECT '{mart}' AS mart, year, {item} AS item, {told} FROM ({_MART_SQL[mart]})"
+
+
+EVERY_MART = " UNION ALL ".join(f"({_told_sql(mart)})" for mart in _TOLD)
 
 
 @register(
-    "k10_pipeline",
-    f"""WITH {ECONOMIC}, {TRADE_FACT}
-    SELECT 'regional_performance' AS mart, f.year, r.region_name AS name,
-           'B' || regexp_extract(f.indicator_key, '([0-9]+)$', 1) AS item,
-           CAST(f.value AS DOUBLE) AS amount
-    FROM e_fact f JOIN e_region r USING (region_key)
-    UNION ALL
-    SELECT 'trade_regional', year, port_key, trade_type, CAST(SUM(value_usd) AS DOUBLE)
-    FROM x_fact GROUP BY year, port_key, trade_type""",
+    "b11_metadata_dimensions",
+    f"""WITH {GLOSSARY_SQL}
+    SELECT 'dim_glossary' AS table_name, COUNT(*) AS rows FROM glossary
+    UNION ALL SELECT 'dim_dataset', 0""",
 )
+def b11(spark, sf_dir):
+    """The metadata that has landed is loaded; dataset metadata, which has not, leaves its table empty."""
+    house = new_warehouse(spark, "b11")
+    house.create_tables()
+    base = scratch_path(spark, "landing")
+    land(base, {"glossary": adapters.glossary_responses(spark, sf_dir)})
+    landed = landing.read_landed(spark, base)
+    pipeline.load_responses(spark, house, landed, pipeline.domain_regions(landed, "0000"))
+    counts = [
+        house.table("warehouse", name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for name in ("dim_glossary", "dim_dataset")
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@register("k10_pipeline", EVERY_MART)
 def k10(spark, sf_dir):
     """Landed responses to the marts of both domains."""
     house = new_warehouse(spark, "k10")
-    pipeline.run_pipeline(spark, landed_everything(spark, sf_dir), house)
-    regional = house.table("mart", "regional_performance").select(
-        F.lit("regional_performance").alias("mart"), "year", F.col("region_name").alias("name"),
-        F.concat(F.lit("B"), F.col("indicator_key").cast("int")).alias("item"),
-        F.col("value").cast("double").alias("amount"),
-    )
-    ports = house.table("mart", "trade_regional").select(
-        F.lit("trade_regional").alias("mart"), "year", F.col("port_key").alias("name"),
-        F.col("trade_type").alias("item"), F.col("value_usd").cast("double").alias("amount"),
-    )
-    return regional.unionByName(ports)
+    base = scratch_path(spark, "landing")
+    land(base, everything(spark, sf_dir))
+    pipeline.run_pipeline(spark, base, house)
+    return every_mart(house)
+
+
+@register("k10_landed_anew", EVERY_MART)
+def k10_landed_anew(spark, sf_dir):
+    """Some files are wrong at first, land anew on their day and load again; a late older day changes nothing."""
+    house = new_warehouse(spark, "k10a")
+    base = scratch_path(spark, "landing")
+    sources = {name: materialize(responses, name) for name, responses in everything(spark, sf_dir).items()}
+    right = sources["dynamic_data"].where(F.col("doc").endswith("3"))
+    # A larger value: a digit before each.
+    wrong = right.withColumn("body", F.regexp_replace("body", r'":"(\d+\.)', '":"7$1'))
+    land(base, sources | {"dynamic_data": sources["dynamic_data"].where(~F.col("doc").endswith("3")).union(wrong)})
+    pipeline.run_pipeline(spark, base, house)
+    land(base, {"dynamic_data": right})
+    pipeline.run_pipeline(spark, base, house)
+    land(base, {"dynamic_data": wrong}, DAY - datetime.timedelta(days=3))
+    pipeline.run_pipeline(spark, base, house)
+    return every_mart(house)
+
+
+@register("l10_incremental_ingest", EVERY_MART)
+def l10(spark, sf_dir):
+    """All five sources landed in two batches, taken as a stream; a third run finds nothing."""
+    house = new_warehouse(spark, "l10")
+    base, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    sources = {name: materialize(responses, name) for name, responses in everything(spark, sf_dir).items()}
+    late = F.pmod(F.xxhash64("doc"), F.lit(4)) == 0
+    for part, day in ((~late, DAY), (late, DAY + datetime.timedelta(days=7))):
+        land(base, {name: r if name == "domain" else r.where(part) for name, r in sources.items()}, day)
+        ingest.ingest_available(spark, base, house, checkpoint)
+    ingest.ingest_available(spark, base, house, checkpoint)
+    return every_mart(house)
+
+
+@register(
+    "k11_mart_lineage",
+    f"""WITH {ECONOMIC}, {TRADE_FACT},
+    per_mart AS (
+        SELECT year, indicator_key, COUNT(*) AS facts, SUM(value) AS amount FROM e_fact GROUP BY year, indicator_key
+    ),
+    chained AS (
+        SELECT *, LAG(year) OVER (PARTITION BY indicator_key ORDER BY year) AS before FROM per_mart
+    ),
+    yearly AS ({_YEARLY})
+    SELECT 'indicator_trend' AS mart, year, 'B' || regexp_extract(indicator_key, '([0-9]+)$', 1) AS item,
+           'current' AS role, facts, CAST(1 AS BIGINT) AS files, CAST(amount AS DOUBLE) AS amount
+    FROM per_mart
+    UNION ALL
+    SELECT 'indicator_trend', c.year, 'B' || regexp_extract(c.indicator_key, '([0-9]+)$', 1), 'previous',
+           p.facts, 1, CAST(p.amount AS DOUBLE)
+    FROM chained c JOIN per_mart p ON p.indicator_key = c.indicator_key AND p.year = c.before
+    UNION ALL
+    SELECT 'trade_trend', year, trade_flow, 'current', COUNT(*), COUNT(DISTINCT port_key), CAST(SUM(usd) AS DOUBLE)
+    FROM yearly GROUP BY year, trade_flow""",
+)
+def k11_marts(spark, sf_dir):
+    """Rows of two marts traced to their facts and the landed files of these."""
+    house = new_warehouse(spark, "k11m")
+    base = scratch_path(spark, "landing")
+    land(base, everything(spark, sf_dir))
+    pipeline.run_pipeline(spark, base, house)
+    files = pipeline.loaded_files(house)
+
+    def traced(mart: str, item: Column) -> DataFrame:
+        found = lineage.trace_mart(house, mart, files)
+        return found.groupBy(F.lit(mart).alias("mart"), "year", item.alias("item"), "role").agg(
+            F.count(F.lit(1)).alias("facts"), F.count_distinct("doc").alias("files"),
+            F.sum("amount").cast("double").alias("amount"),
+        )
+
+    trend = traced("indicator_trend", F.concat(F.lit("B"), F.col("indicator_key").cast("int")))
+    return trend.unionByName(traced("trade_trend", F.col("trade_flow")))
 
 
 @register(

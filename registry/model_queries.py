@@ -127,18 +127,32 @@ def b07(spark, sf_dir):
     return model.dim_indicator_from_staged(staged.described)
 
 
+_OWN_DATASET = """
+    SELECT 1 AS dataset_key, p_brand AS table_id, 'T-' || p_brand AS table_code,
+           'Parts of ' || p_brand AS title, 'Parts' AS subject,
+           '1995-2001' AS available_years, 'BPS' AS source_system
+    FROM part GROUP BY p_brand"""
+
+
 @register(
     "b08_dim_dataset",
-    """SELECT 1 AS dataset_key, p_brand AS table_id, 'T-' || p_brand AS table_code,
-              'Parts of ' || p_brand AS title, 'Parts' AS subject,
-              '1995-2001' AS available_years, 'BPS' AS source_system
-    FROM part GROUP BY p_brand""",
+    f"""{_OWN_DATASET}
+    UNION ALL
+    SELECT 2, p_brand || '/2', 'x', 'x', 'x', '1995-2001', 'BPS' FROM part GROUP BY p_brand""",
 )
 def b08(spark, sf_dir):
+    """Every entry of a response by its position."""
     records = parsers.dataset_records(adapters.dataset_responses(spark, sf_dir))
     return model.build_dim_dataset(records, "1995-2001")
 
 
+@register("b08_dim_dataset_first", _OWN_DATASET)
+def b08_first(spark, sf_dir):
+    """The first entry of each response only."""
+    records = parsers.dataset_records(adapters.dataset_responses(spark, sf_dir), first_only=True)
+    return model.build_dim_dataset(records, "1995-2001")
+
+
 @register(
     "b09_dim_glossary",
     f"""WITH {GLOSSARY_SQL}
@@ -168,25 +182,6 @@ def b10(spark, sf_dir):
     )
 
 
-@register(
-    "b11_metadata_dimensions",
-    f"""WITH {GLOSSARY_SQL}
-    SELECT 'dim_glossary' AS table_name, COUNT(*) AS rows FROM glossary
-    UNION ALL SELECT 'dim_dataset', 0""",
-)
-def b11(spark, sf_dir):
-    """A glossary that is there and dataset metadata that is not."""
-    glossary = model.build_dim_glossary(
-        parsers.glossary_records(adapters.glossary_responses(spark, sf_dir))
-    )
-    tables = {"dim_glossary": glossary, "dim_dataset": model.empty_dimension(spark, "dim_dataset")}
-    counts = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-        for name, df in tables.items()
-    ]
-    return counts[0].unionByName(counts[1])
-
-
 @register(
     "b12_fact_trade",
     f"""WITH {TRADE_LINES}

@@ -305,23 +305,22 @@ def r13(spark, sf_dir):
     f"""WITH {ECONOMIC}
     SELECT 'national_value' AS section, CAST(year AS VARCHAR) AS item,
            CAST(SUM(value) AS DOUBLE) AS amount
-    FROM e_fact WHERE indicator_key = '{KEY}' GROUP BY year
+    FROM e_fact GROUP BY year
     UNION ALL
-    SELECT 'latest_year_region_value', region_key, CAST(value AS DOUBLE)
-    FROM e_fact WHERE indicator_key = '{KEY}'
-        AND year = (SELECT MAX(year) FROM e_fact WHERE indicator_key = '{KEY}')
+    SELECT 'latest_year_region_value', region_key, CAST(MAX_BY(value, indicator_key) AS DOUBLE)
+    FROM e_fact WHERE year = (SELECT MAX(year) FROM e_fact) GROUP BY region_key
     UNION ALL
     SELECT 'count', item, amount FROM (
         SELECT CAST(COUNT(*) AS DOUBLE) AS total_records,
                CAST(COUNT(DISTINCT region_key) AS DOUBLE) AS regions,
                CAST(COUNT(DISTINCT year) AS DOUBLE) AS years_available,
                CAST(MAX(year) AS DOUBLE) AS latest_year
-        FROM e_fact WHERE indicator_key = '{KEY}'
+        FROM e_fact
     ) UNPIVOT (amount FOR item IN (total_records, regions, years_available, latest_year))""",
 )
 def r14(spark, sf_dir):
-    data = economic_fact(spark, sf_dir).where(F.col("indicator_key") == KEY).select(
-        "year", F.col("region_key").alias("region_id"), "value",
-        F.struct("year", "region_key").alias("ordinal"),
+    """All observations; of a region's values of the latest year the last by indicator."""
+    data = economic_fact(spark, sf_dir).select(
+        "year", F.col("region_key").alias("region_id"), "value", F.col("indicator_key").alias("ordinal")
     )
     return pipeline.extraction_summary(materialize(data, "observations"))

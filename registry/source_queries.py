@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from lumbung.functions.columns import numeric, whole_year
 from lumbung.functions.storage import scratch_path
 from lumbung.operators import staging
-from lumbung.operators.load import Warehouse
 from lumbung.schemas import VALUE
 from lumbung.sources import landing
 from lumbung.sources import responses as parsers
-from lumbung.streaming import ingest
 from registry import adapters
 from registry.adapters import ECONOMIC, ECONOMIC_FACT, GLOSSARY_SQL, TRADE_LINES
 from registry.catalog import register
@@ -154,28 +152,6 @@ def l09(spark, sf_dir):
     )
 
 
-@register(
-    "l10_incremental_ingest",
-    f"""WITH {ECONOMIC_FACT}
-    SELECT year, date_key, region_key, indicator_key, CAST(value AS DOUBLE) AS value,
-           TRUE AS has_source FROM e_fact""",
-)
-def l10(spark, sf_dir):
-    base = landed_wide(spark, sf_dir)
-    place = scratch_path(spark, "ingest")
-    warehouse = Warehouse(spark, f"{place}/tables", f"l10_{place.rsplit('-', 1)[1]}_")
-    # The second run finds every file taken already.
-    for _ in range(2):
-        ingest.ingest_available(
-            spark, base, warehouse, f"{place}/checkpoint", adapters.region_codes(spark, sf_dir)
-        )
-    fact = warehouse.table("warehouse", "fact_economic").where(F.col("value").isNotNull())
-    return fact.select(
-        "year", "date_key", "region_key", "indicator_key", "value",
-        F.col("source_key").isNotNull().alias("has_source"),
-    )
-
-
 _TRADE_COLUMNS = (
     "trade_type, commodity_code, commodity_name, country_code, country_name, port_code, port_name, "
     "period, CAST(usd AS VARCHAR) AS value_usd, COALESCE(CAST(kg AS VARCHAR), 'unknown') AS net_weight_kg"
