@@ -11,8 +11,11 @@ A pair meets on several lines but is handled once, on the first it shares. Lists
 of bounded size, compared inside tasks, which return a count of links per vector and the links that
 connect them, never all pairs. Equal vectors fold into one before.
 
-Defined results: vectors that are NULL, zero or of another length than most, or that hold NULL or
-non-finite components, link with nothing. Rows that repeat a vec_id are one vector each; equal rows
+Vectors of one length are compared with each other, a length at a time. Lines are projected in single
+precision, cosines are taken of the stored components in double precision.
+
+Defined results: vectors that are NULL, empty or zero, or that hold NULL or non-finite components, link
+with nothing, and no vector links with one of another length. Rows that repeat a vec_id are one vector each; equal rows
 link with each other. An empty table gives an empty result.
 """
 
@@ -21,17 +24,20 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from lumbung.functions.storage import materialize
 from lumbung.llm.common import components, ship
 
 _LINES_AT_ONCE = 1024
+FOUND = "a long, b long, links long"
 
 
 @dataclass(frozen=True)
@@ -88,13 +94,14 @@ def _both(tail: float, window: float, correlation: float) -> float:
 
 
 def postings(vectors: DataFrame, settings: Settings, width: int) -> DataFrame:
-    """For every vector (id, copies, vector) a row per line whose tail it reaches.
+    """For every vector (id, copies, vector), all of one length, a row per line whose tail it reaches.
 
     Each row holds all lines of the vector and its values there, so that a pair can be counted
     wherever its two vectors meet.
     """
     ship(vectors.sparkSession)
-    schema = "line int, id long, copies long, vector array<float>, lines array<int>, values array<float>"
+    kind = vectors.schema["vector"].dataType.simpleString()
+    schema = f"line int, id long, copies long, vector {kind}, lines array<int>, values array<float>"
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +218,7 @@ def linked(posted: DataFrame, settings: Settings, width: int) -> DataFrame:
             yield _found([_compare(pa.Table.from_batches(held), width, settings)])
 
     ordered = squares.repartition("line", "i", "j").sortWithinPartitions("line", "i", "j", "own")
-    return ordered.mapInArrow(over, "a long, b long, links long")
+    return ordered.mapInArrow(over, FOUND)
 
 
 def _found(squares: list) -> pa.RecordBatch:
@@ -232,19 +239,21 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9, recall: float = 0.9
         F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & ~usable
         & F.exists("embedding", lambda x: x != 0)
     )
-    cast = F.col("embedding").cast("array<float>")
+    single = isinstance(rows.schema["embedding"].dataType.elementType, FloatType)
+    cast = F.col("embedding").cast("array<float>" if single else "array<double>")
     valid = rows.where(good).select("vec_id", cast.alias("vector"))
-    widths = valid.groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    width = widths.w if widths else 0
-    same = valid.where(F.size("vector") == width)
     # Equal vectors are one, with as many copies.
     folded = materialize(
-        same.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors"
+        valid.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors"
     )
-    n = folded.count()
-    settings = Settings.calibrated(n, threshold, recall)
-    posted = materialize(postings(folded, settings, max(width, 1)), "postings")
-    found = materialize(linked(posted, settings, max(width, 1)), "links")
+    sizes = folded.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n")).collect()
+    parts = []
+    for width, n in sorted(map(tuple, sizes)):
+        settings = Settings.calibrated(n, threshold, recall)
+        own = folded.where(F.size("vector") == width)
+        posted = materialize(postings(own, settings, width), "postings")
+        parts.append(materialize(linked(posted, settings, width), "links"))
+    found = reduce(DataFrame.union, parts) if parts else rows.sparkSession.createDataFrame([], FOUND)
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     labels = components(found.where("b IS NOT NULL"))
     classes = (

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.llm import hard_negatives, queries, whitening
+from lumbung.llm import embeddings, hard_negatives, queries, whitening
 
 SF_DIR = "/root/testdata/sf0.001"
 NAN, INF = float("nan"), float("inf")
@@ -142,3 +142,30 @@ def test_hard_negatives_of_awkward_rows(spark):
     huge = spark.createDataFrame([(0, [1e12], 0, None, None)], schema())
     with pytest.raises(ValueError, match="scale the vectors down"):
         hard_negatives.mine(hard_negatives.prepare(huge), F.lit(True))
+
+
+@pytest.mark.parametrize("kind", [T.FloatType(), T.DoubleType()])
+def test_links_of_all_lengths_in_the_stored_precision(spark, kind):
+    draw = np.random.default_rng(5)
+    stored = np.float32 if isinstance(kind, T.FloatType) else np.float64
+    rows = []
+    for width in (2, 5, 16):
+        centres = draw.standard_normal((6, width))
+        for at in range(40):
+            rows.append((100 * width + at, (centres[at % 6] + 0.25 * draw.standard_normal(width)).astype(stored)))
+        rows += [(100 * width + 50, rows[-1][1]), (100 * width + 51, rows[-2][1] * 2)]
+    # Cosines of 0.9 but for a part in 10^12, which single precision cannot tell apart.
+    for at, cosine in ((1, 0.9 - 1e-12), (2, 0.9 + 1e-12)):
+        side = float(np.sqrt(1 - cosine**2))
+        rows += [(9000 + 10 * at, np.array([1e3, 0, 0], stored)), (9001 + 10 * at, np.array([cosine, side, 0], stored))]
+    df = spark.createDataFrame([(i, [float(v) for v in x], 0, None, None) for i, x in rows], schema(kind))
+    links = {i: set() for i, _ in rows}
+    for a, x in rows:
+        for b, y in rows:
+            if a != b and len(x) == len(y):
+                p, q = x.astype(float), y.astype(float)
+                if p / np.linalg.norm(p) @ (q / np.linalg.norm(q)) >= 0.9:
+                    links[a].add(b)
+    found = {r.vec_id: r for r in embeddings.near_duplicates(df).collect()}
+    assert {i: r.n_links for i, r in found.items()} == {i: len(held) for i, held in links.items()}
+    assert all(found[i].component_id == min(found[j].component_id for j in held | {i}) for i, held in links.items())
