@@ -95,7 +95,12 @@ def economic_overview(star: EconomicStar) -> DataFrame:
             F.count_distinct("region_key").alias("region_count"),
         )
     )
-    context = star.dim_indicator.select(
+    return overview_of(totals, star.dim_indicator)
+
+
+def overview_of(totals: DataFrame, dim_indicator: DataFrame) -> DataFrame:
+    """`economic_overview` from national_value and region_count per year and indicator."""
+    context = dim_indicator.select(
         "indicator_key", "indicator_name", "unit", "frequency", "concept", "definition",
         "data_source",
     )

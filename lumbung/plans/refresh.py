@@ -6,6 +6,7 @@ year that the series was observed in. Only the year partitions that hold such ro
 of other indicators are taken over from the stored mart, the touched ones are computed anew from the
 touched indicators' history. Changes of names reach every year in which the named thing was observed.
 Trade marts compare nothing across years, so their touched years are computed from those years alone.
+Stored summaries, where there are any, follow in the touched years too.
 
 The notes are dropped when all marts have followed, so a run that breaks off is made up for by the next.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions.storage import discard, scratch_path
 from lumbung.operators.load import Warehouse
-from lumbung.plans import marts
+from lumbung.plans import marts, summaries
 from lumbung.schemas import EconomicStar, TradeStar
 
 #: Marts whose rows belong to one indicator and compare a year with the one observed before.
@@ -53,6 +54,8 @@ def build_marts(warehouse: Warehouse) -> None:
         warehouse.build_mart(mart(trade), name)
     warehouse.build_mart(_divergence(warehouse), "growth_divergence")
     _build_bridge(warehouse)
+    if summaries.exist(warehouse):
+        summaries.build(warehouse)
     warehouse.forget_changes()
 
 
@@ -158,6 +161,8 @@ def _refresh_economic(warehouse: Warehouse, path: str) -> dict[str, list[int]]:
         rows = mart(replace(star, fact=star.fact.where(F.col("year").isin(years))))
         warehouse.replace_years(rows, name, years)
     warehouse.replace_years(_divergence(warehouse), "growth_divergence", wide)
+    if summaries.exist(warehouse):
+        summaries.follow(warehouse, years)
     return {name: wide for name in (*SERIES_MARTS, "growth_divergence")} | {
         name: years for name in YEARLY_ECONOMIC_MARTS
     }

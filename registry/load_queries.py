@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from lumbung.functions.storage import materialize, scratch_path
 from lumbung.operators import staging
 from lumbung.operators.load import Warehouse
-from lumbung.plans import lineage, marts, pipeline
+from lumbung.plans import lineage, marts, pipeline, refresh, summaries
 from lumbung.sources import landing
 from lumbung.streaming import ingest
 from registry import adapters
-from registry.adapters import ECONOMIC, ECONOMIC_FACT, GLOSSARY_SQL, TRADE_FACT
+from registry.adapters import ECONOMIC, ECONOMIC_FACT, GLOSSARY_SQL, OBSERVED, TRADE_FACT, growth_sql
 from registry.catalog import ORACLES, register
-from registry.mart_queries import TREND_SQL
+from registry.mart_queries import OVERVIEW_SQL, TREND_SQL
 from registry.source_queries import DAY, landed_wide
 
 
@@ -436,3 +436,68 @@ def k11(spark, sf_dir):
     fact = house.table("warehouse", "fact_economic")
     traced = pipeline.trace(fact, data).join(landed.select("doc", "dataset"), "doc")
     return traced.select("year", "region_key", "indicator_key", "dataset", "value")
+
+
+def summarised(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
+    """Facts loaded in two batches, of which the second corrects a region of one year of the first.
+
+    The summaries are built after the first and follow the second.
+    """
+    house = new_warehouse(spark, label)
+    house.create_tables()
+    star = adapters.economic_star(spark, sf_dir)
+    for name in ("dim_date", "dim_region", "dim_indicator"):
+        house.upsert(getattr(star, name), name)
+    fact = materialize(star.fact, "fact")
+    early, corrected = F.col("year") < 1995, (F.col("year") == 1993) & F.col("region_key").isin("3", "7")
+    value = F.when(corrected, F.col("value") * 2 + 1).otherwise(F.col("value")).cast("decimal(20,6)")
+    house.upsert(fact.where(early).withColumn("value", value), "fact_economic", update=["value"])
+    refresh.build_marts(house)
+    summaries.build(house)
+    house.upsert(fact.where(~early | corrected), "fact_economic", update=["value"])
+    refresh.refresh_marts(house)
+    return house
+
+
+@register(
+    "a08_merged_moments",
+    f"""WITH {OBSERVED}
+    SELECT indicator_name, region_name, COUNT(*) AS years_observed, ROUND(AVG(value), 6) AS avg_value,
+           ROUND(STDDEV_SAMP(CAST(value AS DOUBLE)), 6) AS stddev_value,
+           {growth_sql('MAX(value)', 'MIN(value)')} AS total_change_pct
+    FROM obs GROUP BY indicator_name, region_name""",
+)
+def a08_merged(spark, sf_dir):
+    """Level and spread of every series merged from stored moments of the years."""
+    return summaries.long_term_trend(summarised(spark, sf_dir, "a08"))
+
+
+@register(
+    "a12_merged_moments",
+    f"""WITH {OBSERVED}
+    SELECT indicator_name, region_name, ROUND(AVG(value), 6) AS mean_value,
+           ROUND(STDDEV_SAMP(CAST(value AS DOUBLE)), 6) AS stddev_value,
+           ROUND(STDDEV_SAMP(CAST(value AS DOUBLE)) / NULLIF(AVG(CAST(value AS DOUBLE)), 0) * 100, 2)
+               AS coefficient_of_variation
+    FROM obs GROUP BY indicator_name, region_name HAVING COUNT(*) > 1""",
+)
+def a12_merged(spark, sf_dir):
+    """Volatility of every series merged from stored moments of the years."""
+    return summaries.volatility(summarised(spark, sf_dir, "a12"))
+
+
+@register("m03_merged_regions", f"WITH {OVERVIEW_SQL} SELECT * FROM overview")
+def m03_merged(spark, sf_dir):
+    """The overview from stored totals and bitmaps of regions."""
+    return summaries.economic_overview(summarised(spark, sf_dir, "m03"))
+
+
+@register(
+    "m03_regions_of_years",
+    f"""WITH {ECONOMIC}
+    SELECT indicator_key, COUNT(DISTINCT region_key) AS region_count
+    FROM e_fact JOIN e_region USING (region_key) WHERE year BETWEEN 1993 AND 1996 GROUP BY indicator_key""",
+)
+def m03_span(spark, sf_dir):
+    """Distinct regions of a span of years from the stored bitmaps of each."""
+    return summaries.reporting_regions(summarised(spark, sf_dir, "m03r"), 1993, 1996)
