@@ -278,23 +278,35 @@ class Warehouse:
         before the view turns to it, so readers always find a whole mart, and a build that breaks
         off leaves the old one. A mart with a year is partitioned by it.
         """
-        self.create_schemas(["mart"])
-        name, version = self.name("mart", mart), f"{mart}{_VERSION}{uuid.uuid4().hex}"
-        columns = ", ".join(f"`{column}`" for column in df.columns)
         partition_by = [c for c in df.columns if c == "year"] if len(df.columns) > 1 else []
         if partition_by:
             # One writer for a year, several for a large one.
             df = df.hint("rebalance", F.col("year"))
             if "indicator_key" in df.columns:
                 df = df.sortWithinPartitions("year", "indicator_key")
-        self._write(df, "mart", version, "errorifexists", partition_by)
-        catalog = self.spark.catalog
+        self.publish("mart", mart, self.write_version(df, "mart", mart, partition_by), df.columns)
+
+    def write_version(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> str:
+        """Write a version of a table, which nobody finds under the table's name before `publish`."""
+        self.create_schemas([layer])
+        version = f"{table}{_VERSION}{uuid.uuid4().hex}"
+        self._write(df, layer, version, "errorifexists", partition_by)
+        return version
+
+    def publish(self, layer: str, table: str, version: str, columns: Sequence[str]) -> None:
+        """Turn a table to a written version and drop the others, also those never published."""
+        name, catalog = self.name(layer, table), self.spark.catalog
+        columns = ", ".join(f"`{column}`" for column in columns)
         if catalog.tableExists(name) and catalog.getTable(name).tableType != "VIEW":
             self.spark.sql(f"DROP TABLE {name}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {self.name('mart', version)}")
-        for table in catalog.listTables(f"{self.prefix}mart"):
-            if table.name.startswith(f"{mart}{_VERSION}".lower()) and table.name != version.lower():
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.name('mart', table.name)}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {self.name(layer, version)}")
+        for other in catalog.listTables(f"{self.prefix}{layer}"):
+            if other.name.startswith(f"{table}{_VERSION}".lower()) and other.name != version.lower():
+                self.withdraw(layer, other.name)
+
+    def withdraw(self, layer: str, version: str) -> None:
+        """Drop a version that is not to be published."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, version)}")
 
     def replace_years(self, rows: DataFrame, mart: str, years: Sequence[int]) -> None:
         """Replace the partitions of these years of a stored mart; the others are not touched.

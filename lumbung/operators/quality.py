@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,31 +54,39 @@ def validate(
 
     numeric_columns = [column for column in numeric_columns if column in df.columns]
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    counters = distinct.agg(*_counters(df, required, numeric_columns))
+    counters = distinct.agg(_repeated(), *_counters(df, required, numeric_columns, F.col("_n")))
+    result = _reported(counters, df.columns, required, numeric_columns)
+    if _given(allowed_regions) and "region_id" in df.columns:
+        result = result.unionByName(region_check(df, allowed_regions))
+    return constant_rows(spark, RESULT_COLUMNS, first).unionByName(result)
+
+
+def _given(allowed: DataFrame | Sequence[str] | None) -> bool:
+    """Whether regions are restricted; an empty list restricts nothing."""
+    return isinstance(allowed, DataFrame) or bool(allowed)
+
+
+def _reported(
+    counters: DataFrame, columns: Sequence[str], required: Sequence[str], numeric_columns: Sequence[str]
+) -> DataFrame:
+    """The checks that one row of counters stands for."""
     checks = [
         *_table_checks(required),
         *[_numeric_check(column) for column in numeric_columns],
-        *([_period_check()] if "year" in df.columns else []),
-        *([_negative_check()] if "value" in df.columns else []),
+        *([_period_check()] if "year" in columns else []),
+        *([_negative_check()] if "value" in columns else []),
     ]
     # Nothing but the emptiness check is reported for an empty dataset.
     kept = F.filter(
         F.array(*checks),
         lambda c: (F.col("_rows") > 0) | (c["check"] == "empty_dataset"),
     )
-    result = counters.select(F.inline(kept))
-    if _given(allowed_regions) and "region_id" in df.columns:
-        result = result.unionByName(region_check(df, allowed_regions))
-    return constant_rows(spark, RESULT_COLUMNS, first).unionByName(result)
+    return counters.select(F.inline(kept))
 
 
-def _given(allowed: DataFrame | Sequence[str] | None) -> bool:
-    """Whether regions are restricted; an empty list restricts nothing."""
-    return isinstance(allowed, DataFrame) or bool(allowed)
-
-
-def _weighted(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
+def _repeated() -> Column:
+    """Rows beyond the first of equal ones, of groups of `_n`."""
+    return F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_duplicates")
 
 
 def _absent(df: DataFrame, column: str) -> Column:
@@ -89,30 +97,34 @@ def _absent(df: DataFrame, column: str) -> Column:
 
 
 def _counters(
-    df: DataFrame, required: Sequence[str], numeric_columns: Sequence[str]
+    df: DataFrame, required: Sequence[str], numeric_columns: Sequence[str], weight: Column
 ) -> list[Column]:
+    """Counters of rows that stand for `weight` rows each."""
+
+    def weighted(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0))
+
     counters = [
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_duplicates"),
-        *[_weighted(_absent(df, column)).alias(f"_null_{column}") for column in required],
+        F.coalesce(F.sum(weight), F.lit(0)).alias("_rows"),
+        *[weighted(_absent(df, column)).alias(f"_null_{column}") for column in required],
     ]
     for column in numeric_columns:
         broken = numeric(F.col(column), _NUMBER).isNull() & ~_absent(df, column)
-        counters.append(_weighted(broken).alias(f"_broken_{column}"))
+        counters.append(weighted(broken).alias(f"_broken_{column}"))
     if "year" in df.columns:
         year = numeric(F.col("year"), _NUMBER)
         low, high = YEAR_RANGE
         counters += [
-            _weighted(year.isNull()).alias("_bad_years"),
-            _weighted((year < low) | (year > high)).alias("_far_years"),
+            weighted(year.isNull()).alias("_bad_years"),
+            weighted((year < low) | (year > high)).alias("_far_years"),
             F.min(year).cast("int").alias("_first_year"),
             F.max(year).cast("int").alias("_last_year"),
         ]
     if "value" in df.columns:
         value = numeric(F.col("value"), _NUMBER)
         counters += [
-            _weighted(value.isNull()).alias("_no_values"),
-            _weighted(value < 0).alias("_negative"),
+            weighted(value.isNull()).alias("_no_values"),
+            weighted(value < 0).alias("_negative"),
         ]
     return counters
 
@@ -261,8 +273,12 @@ def gate(results: DataFrame) -> list[str]:
 
 def mapping_check(staged: DataFrame) -> DataFrame:
     """FAIL without staged rows, WARN where every region is NULL."""
-    rows, mapped = F.col("rows"), F.col("mapped")
-    check = _check(
+    counted = staged.agg(F.count(F.lit(1)).alias("rows"), F.count("region_id").alias("mapped"))
+    return counted.select(F.inline(F.array(_mapping_check(F.col("rows"), F.col("mapped")))))
+
+
+def _mapping_check(rows: Column, mapped: Column) -> Column:
+    return _check(
         "region_mapping",
         F.when(rows == 0, "FAIL").when(mapped == 0, "WARN").otherwise("PASS"),
         rows - mapped,
@@ -270,8 +286,6 @@ def mapping_check(staged: DataFrame) -> DataFrame:
         .when(mapped == 0, "no row has a region")
         .otherwise(F.format_string("%d of %d rows have a region", mapped, rows)),
     )
-    counted = staged.agg(F.count(F.lit(1)).alias("rows"), F.count("region_id").alias("mapped"))
-    return counted.select(F.inline(F.array(check)))
 
 
 def trade_checks(records: DataFrame) -> DataFrame:
@@ -280,17 +294,24 @@ def trade_checks(records: DataFrame) -> DataFrame:
     A record whose period has no date key, or that lacks a key column, would be inserted anew by
     every load.
     """
+    return _trade_reported(records.agg(*_trade_counters()))
+
+
+def _trade_counters() -> list[Column]:
     keys = ("trade_type", "commodity_code", "country_code", "port_code")
     keyless = F.greatest(F.lit(False), F.lit(False), *[F.col(key).isNull() for key in keys])
 
     def unread(name: str) -> Column:
         return F.col(name).isNotNull() & numeric(F.col(name), MONEY).isNull()
 
-    counted = records.agg(
+    return [
         F.count_if(period_date_key(F.col("period")).isNull()).alias("periods"),
         F.count_if(keyless).alias("keys"),
         F.count_if(unread("value_usd") | unread("net_weight_kg")).alias("amounts"),
-    )
+    ]
+
+
+def _trade_reported(counters: DataFrame) -> DataFrame:
     checks = [
         _check(
             name,
@@ -304,7 +325,64 @@ def trade_checks(records: DataFrame) -> DataFrame:
             ("trade_amounts", "amounts", "WARN", "have an amount that is no number"),
         )
     ]
-    return counted.select(F.inline(F.array(*checks)))
+    return counters.select(F.inline(F.array(*checks)))
+
+
+# Checks of rows while they are written
+
+
+class CountedWrite:
+    """Rows whose counters are gathered by the one action that writes `rows`.
+
+    Nothing may be shuffled between `rows` and the files: in the stage that writes, a task counts
+    once however often it is tried, in an earlier one it would count again after a lost executor.
+    """
+
+    def __init__(self, df: DataFrame, counters: Sequence[Column]):
+        self._counted = Observation()
+        self.rows = df.observe(self._counted, *counters)
+
+    def values(self) -> dict[str, int | None]:
+        """The counters by name, once the rows are written."""
+        return self._counted.get
+
+    def columns(self) -> list[Column]:
+        """The same as constant columns."""
+        return [F.lit(count).cast("long").alias(name) for name, count in self.values().items()]
+
+
+def count_observations(staged: DataFrame) -> CountedWrite:
+    """Staged observations with the counters of `validate` and `mapping_check`."""
+    return CountedWrite(staged, _counters(staged, REQUIRED_COLUMNS, NUMERIC_COLUMNS, F.lit(1)))
+
+
+def written_checks(counted: CountedWrite, written: DataFrame, context: str | None = None) -> DataFrame:
+    """What `mapping_check` and `validate` say of observations that have just been written.
+
+    Rows that repeat another are no matter of one row, so those are grouped once more, from `written`,
+    the written rows in the columns that tell them apart.
+    """
+    repeats = written.groupBy(*written.columns).agg(F.count(F.lit(1)).alias("_n")).agg(_repeated())
+    counters = repeats.select("*", *counted.columns())
+    mapped = F.col("_rows") - F.col("_null_region_id")
+    known = written.sparkSession.range(0, 1, 1, 1).select(*counted.columns())
+    mapping = known.select(F.inline(F.array(_mapping_check(F.col("_rows"), mapped))))
+    first = [("context", "INFO", 0, context)] if context else []
+    first.append(("required_columns", "PASS", 0, f"all required columns present: {list(REQUIRED_COLUMNS)}"))
+    return _stacked([
+        mapping, constant_rows(written.sparkSession, RESULT_COLUMNS, first),
+        _reported(counters, written.columns, REQUIRED_COLUMNS, NUMERIC_COLUMNS),
+    ])
+
+
+def count_trade(records: DataFrame) -> CountedWrite:
+    """Trade records with the counters of `trade_checks`."""
+    return CountedWrite(records, _trade_counters())
+
+
+def written_trade_checks(spark: SparkSession, counted: CountedWrite) -> DataFrame:
+    """What `trade_checks` says of records that have just been written; reads no record."""
+    return _trade_reported(spark.range(0, 1, 1, 1).select(*counted.columns()))
 
 
 # Warehouse checks

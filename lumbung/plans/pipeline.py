@@ -184,7 +184,8 @@ def load_responses(
 ) -> Loaded:
     """Responses of any sources (source, doc, body) through gate and star schema, marts apart.
 
-    Nothing is loaded before every gate is passed. With `apart`, a column of that value marks rows that
+    Staged rows are counted while they are written, and the gate judges them before anyone can see them:
+    unless all gates are passed, nothing is loaded and the staging tables stay as they were. With `apart`, a column of that value marks rows that
     would not pass: they are kept in `staging.rejected_observations` and `staging.rejected_trade`, and
     the others are loaded. Loading the same responses again changes nothing.
     """
@@ -192,24 +193,36 @@ def load_responses(
     new = {row["source"] for row in responses.select("source").distinct().collect()}
     loaded = Loaded()
     data = records = staged = None
-    if STATISTICS in new:
-        codes = ordered_codes(regions) if codes is None else codes
-        staged = staging.stage(_of(responses, STATISTICS), codes)
-        data = write_staging(warehouse, parsers.select_observations(staged.data, variables, periods))
-        if apart is None:
-            loaded.warnings += quality.gate(quality.mapping_check(data))
-            checked = data.select("variable_id", "vervar_id", "region_id", "year", "value", "period_type")
-            loaded.warnings += quality.gate(quality.validate(checked, context=f"var={variables}"))
-        else:
+    written: list[Candidate] = []
+    try:
+        if STATISTICS in new:
+            codes = ordered_codes(regions) if codes is None else codes
+            staged = staging.stage(_of(responses, STATISTICS), codes)
+            selected = parsers.select_observations(staged.data, variables, periods)
+            written.append(stage_observations(warehouse, selected))
+            data = written[-1].rows()
+            if apart is None:
+                checked = data.select("variable_id", "vervar_id", "region_id", "year", "value", "period_type")
+                checks = quality.written_checks(written[-1].counted, checked, context=f"var={variables}")
+                loaded.warnings += quality.gate(checks)
+        if TRADE in new:
+            written.append(stage_trade(warehouse, responses))
+            records = written[-1].rows()
+            if apart is None:
+                loaded.warnings += quality.gate(quality.written_trade_checks(spark, written[-1].counted))
+    except Exception:
+        for candidate in written:
+            candidate.withdraw()
+        raise
+    for candidate in written:
+        candidate.publish()
+    if apart is not None:
+        if data is not None:
             whole = F.col("region_id").isNotNull() & F.col("year").isNotNull()
             lost = data.where(~whole).select("doc", "place", "variable_id", "region_id", "year", apart)
             _keep(warehouse, lost, "rejected_observations")
             data = data.where(whole)
-    if TRADE in new:
-        records = write_trade(warehouse, responses)
-        if apart is None:
-            loaded.warnings += quality.gate(quality.trade_checks(records))
-        else:
+        if records is not None:
             keyed = [F.col(c).isNotNull() for c in ("trade_type", "commodity_code", "country_code", "port_code")]
             whole = F.least(period_date_key(F.col("period")).isNotNull(), *keyed)
             lost = records.where(~whole).select("doc", "position", "trade_type", "commodity_code", "period", apart)
@@ -228,7 +241,8 @@ def load_responses(
         known = warehouse.table("warehouse", "dim_indicator")
         loaded.rows["dim_indicator"] = warehouse.upsert(enriched(warehouse, known), "dim_indicator")
     if data is not None:
-        loaded.staged_rows = data.count()
+        # Known from the write, unless rows were kept apart.
+        loaded.staged_rows = written[0].counted.values()["_rows"] if apart is None else data.count()
         loaded.rows |= load_economic(warehouse, data, staged.described)
     if records is not None:
         loaded.rows |= load_trade(spark, warehouse, records)
@@ -272,8 +286,33 @@ def ordered_codes(regions: DataFrame) -> Column:
     return regions.agg(F.nullif(codes, F.array().cast("array<string>"))).scalar()
 
 
-def write_staging(warehouse: Warehouse, observed: DataFrame) -> DataFrame:
-    """Store staged observations, so that the gate and the loads read them instead of JSON."""
+@dataclass
+class Candidate:
+    """A staging table that is written and counted, but that no reader finds before `publish`."""
+
+    warehouse: Warehouse
+    table: str
+    order: str
+    version: str
+    counted: quality.CountedWrite
+
+    def rows(self) -> DataFrame:
+        written = self.warehouse.table("staging", self.version)
+        return written.withColumn("ordinal", landing_order(self.order))
+
+    def publish(self) -> None:
+        self.warehouse.publish("staging", self.table, self.version, self.counted.rows.columns)
+
+    def withdraw(self) -> None:
+        self.warehouse.withdraw("staging", self.version)
+
+
+def _candidate(warehouse: Warehouse, counted: quality.CountedWrite, table: str, order: str) -> Candidate:
+    return Candidate(warehouse, table, order, warehouse.write_version(counted.rows, "staging", table), counted)
+
+
+def stage_observations(warehouse: Warehouse, observed: DataFrame) -> Candidate:
+    """Write staged observations, so that the gate and the loads read them instead of JSON."""
     rows = observed.select(
         F.xxhash64("doc", "ordinal.place").alias("staging_key"),
         "variable_id", "vervar_id", "region_id", "year", "value", "table_id",
@@ -283,10 +322,14 @@ def write_staging(warehouse: Warehouse, observed: DataFrame) -> DataFrame:
         "doc",
         F.col("ordinal.place").alias("place"),
     )
-    warehouse.load(rows, "staging", "dynamic_data", "replace")
-    return warehouse.table("staging", "dynamic_data").withColumn(
-        "ordinal", landing_order("place")
-    )
+    return _candidate(warehouse, quality.count_observations(rows), "dynamic_data", "place")
+
+
+def write_staging(warehouse: Warehouse, observed: DataFrame) -> DataFrame:
+    """Staged observations, written and published without a gate."""
+    candidate = stage_observations(warehouse, observed)
+    candidate.publish()
+    return candidate.rows()
 
 
 def landing_order(place: str) -> Column:
@@ -338,11 +381,10 @@ def load_fact_economic(warehouse: Warehouse, data: DataFrame) -> int:
     )
 
 
-def write_trade(warehouse: Warehouse, landed: DataFrame) -> DataFrame:
-    """Store trade records, so that gate and loads do not parse them again."""
+def stage_trade(warehouse: Warehouse, landed: DataFrame) -> Candidate:
+    """Write trade records, so that gate and loads do not parse them again."""
     parsed = parsers.trade_records(_of(landed, TRADE)).withColumn("source_key", F.xxhash64("doc"))
-    warehouse.load(parsed, "staging", "trade_records", "replace")
-    return warehouse.table("staging", "trade_records").withColumn("ordinal", landing_order("position"))
+    return _candidate(warehouse, quality.count_trade(parsed), "trade_records", "position")
 
 
 def load_trade(spark: SparkSession, warehouse: Warehouse, records: DataFrame) -> dict[str, int]:
