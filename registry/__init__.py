@@ -7,7 +7,7 @@ from types import ModuleType
 
 MODULES = (
     "source_queries", "quality_queries", "model_queries", "load_queries", "mart_queries",
-    "analysis_queries", "serving_queries",
+    "analysis_queries", "serving_queries", "stored_queries",
 )
 
 

@@ -6,6 +6,7 @@ import pytest
 
 from conftest import REGION_CODES, REGION_NAMES, national_trend, regional_growth, responses, rows, wide_response
 from lumbung.operators import model, staging
+from lumbung.operators.load import Warehouse
 from lumbung.plans import analytics, marts, serving
 from lumbung.schemas import EconomicStar, TradeStar
 
@@ -226,3 +227,19 @@ def test_year_zero_means_no_filter(fixture_star):
     assert serving.economic_regional(performance, year=0).count() == 12
     assert serving.economic_regional(performance, year=1999).count() == 0
     assert serving.regional_ranking(performance, "145", 2022, 2).count() == 2
+
+
+def test_a_year_of_a_stored_mart_reads_its_partition(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "w"), "stored_")
+    columns = "year int, trade_flow string, total_value_usd double, total_weight_kg double, transaction_count long"
+    data = [(year, "Ekspor", float(year or 0), 1.0, 1) for year in (2020, 2021, 2022, None)]
+    try:
+        house.build_mart(spark.createDataFrame(data, columns), "trade_trend")
+        read = serving.trade_trend_by_year(house.table("mart", "trade_trend"), 2021)
+        assert rows(read, "year", "total_value_usd") == [(2021, 2021.0)]
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(year" in plan
+        assert len(read.inputFiles()) == 1
+        assert rows(serving.trade_trend_by_year(house.table("mart", "trade_trend")), "year")[0] == (None,)
+    finally:
+        house.drop_schemas()
