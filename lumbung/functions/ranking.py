@@ -22,10 +22,11 @@ def rank_desc(df: DataFrame, keys: Sequence[str], by: str, name: str, slots: int
     keys = list(keys)
     tallies = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     shares = F.array(*[F.lit(i / slots) for i in range(1, slots)])
-    cuts = tallies.groupBy(*keys).agg(F.percentile_approx(by, shares).alias("_cuts"))
-    above = F.size(F.filter("_cuts", lambda cut: cut > F.col(by)))
-    placed = join_null_safe(tallies, cuts, keys).select(
-        *keys, by, "_n", F.when(F.col(by).isNull(), -1).otherwise(above).alias("_slot")
+    cuts = tallies.groupBy(*keys).agg(F.sort_array(F.percentile_approx(by, shares)).alias("_cuts"))
+    cut = _with_count_up_to(join_null_safe(tallies, cuts, keys), "_cuts", by, slots - 1, "_below")
+    placed = cut.select(
+        *keys, by, "_n",
+        F.when(F.col(by).isNull(), -1).otherwise(slots - 1 - F.col("_below")).alias("_slot"),
     )
     before = Window.partitionBy(*keys, "_slot").orderBy(F.col(by).desc_nulls_first())
     inside = placed.withColumn(
@@ -49,6 +50,21 @@ def rank_desc(df: DataFrame, keys: Sequence[str], by: str, name: str, slots: int
     return join_null_safe(df, ranks, [*keys, by])
 
 
+def _with_count_up_to(df: DataFrame, ascending: str, value: str, size: int, name: str) -> DataFrame:
+    """Add how many of the `size` entries of an ascending array are at most `value`.
+
+    A binary search with a column for each step: unlike a lambda over the entries it stays inside
+    codegen, and no step is computed twice.
+    """
+    df, step = df.withColumn(name, F.lit(0)), 1 << size.bit_length() >> 1
+    while step:
+        # Past the end there is no entry, so nothing is added.
+        higher = F.get(ascending, F.col(name) + (step - 1)) <= F.col(value)
+        df = df.withColumn(name, F.col(name) + F.when(higher, step).otherwise(0))
+        step >>= 1
+    return df
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on `keys` of which NULLs are equal, with the keys of the left side."""
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})

@@ -7,6 +7,8 @@ AQE broadcast the ones they measure as small and shuffle the others.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from lumbung.functions.columns import growth_pct
 from lumbung.functions.ranking import rank_desc
 from lumbung.schemas import EconomicStar, TradeStar
 
+# Stores rows under a label and gives them back read from there.
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 def dated(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Fact rows with the year of their date; rows without a known date drop out.
@@ -220,13 +225,19 @@ def trade_regional(star: TradeStar) -> DataFrame:
     )
 
 
-def trade_commodity(star: TradeStar) -> DataFrame:
-    """Products ranked by value within year and flow; a NULL total ranks first."""
+def trade_commodity(star: TradeStar, keep: Keep | None = None) -> DataFrame:
+    """Products ranked by value within year and flow; a NULL total ranks first.
+
+    A rank reads the sums twice, once for the values alone and once for the rows. As the two need
+    other columns, Catalyst shares nothing between them: without `keep` the fact is summed twice.
+    """
     sums = (
         _trade_sums(star, "trade_type", "product_key")
         .join(_flows(star), "trade_type")
         .join(star.dim_product, "product_key")
+        .select("year", "trade_flow", "product_code", "product_name", "_usd", "_kg")
     )
+    sums = keep(sums, "commodity-sums") if keep else sums
     ranked = rank_desc(sums, ["year", "trade_flow"], "_usd", "commodity_rank")
     return ranked.select(
         "year", "trade_flow", "product_code", "product_name",
@@ -236,13 +247,18 @@ def trade_commodity(star: TradeStar) -> DataFrame:
     )
 
 
-def trade_partner(star: TradeStar) -> DataFrame:
-    """Countries ranked by value within year and flow; a NULL total ranks first."""
+def trade_partner(star: TradeStar, keep: Keep | None = None) -> DataFrame:
+    """Countries ranked by value within year and flow; a NULL total ranks first.
+
+    `keep` is as in `trade_commodity`: a filter on the mart reaches one of the two reads only.
+    """
     sums = (
         _trade_sums(star, "trade_type", "country_key")
         .join(_flows(star), "trade_type")
         .join(star.dim_country, "country_key")
+        .select("year", "trade_flow", "country_code", "country_name", "_usd")
     )
+    sums = keep(sums, "partner-sums") if keep else sums
     ranked = rank_desc(sums, ["year", "trade_flow"], "_usd", "partner_rank")
     return ranked.select(
         "year", "trade_flow", "country_code", "country_name",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lumbung.functions.storage import materialize
 from lumbung.plans import marts
 from registry.adapters import (
     ECONOMIC,
@@ -219,12 +220,12 @@ def m07(spark, sf_dir):
 
 @register("m08_trade_commodity", f"WITH {COMMODITY_SQL} SELECT * FROM commodity")
 def m08(spark, sf_dir):
-    return marts.trade_commodity(trade_star(spark, sf_dir))
+    return marts.trade_commodity(trade_star(spark, sf_dir), materialize)
 
 
 @register("m09_trade_partner", f"WITH {PARTNER_SQL} SELECT * FROM partner")
 def m09(spark, sf_dir):
-    return marts.trade_partner(trade_star(spark, sf_dir))
+    return marts.trade_partner(trade_star(spark, sf_dir), materialize)
 
 
 @register("m10_economic_trade_bridge", f"WITH {BRIDGE_SQL} SELECT * FROM bridge")

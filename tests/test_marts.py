@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
 
 from conftest import REGION_CODES, REGION_NAMES, national_trend, regional_growth, responses, rows, wide_response
+from lumbung.functions.storage import materialize
 from lumbung.operators import model, staging
 from lumbung.operators.load import Warehouse
 from lumbung.plans import analytics, marts, serving
 from lumbung.schemas import EconomicStar, TradeStar
+from registry import mart_queries
 
 
 def star_of(spark, data, methods=None):
@@ -243,3 +246,16 @@ def test_a_year_of_a_stored_mart_reads_its_partition(spark, tmp_path):
         assert rows(serving.trade_trend_by_year(house.table("mart", "trade_trend")), "year")[0] == (None,)
     finally:
         house.drop_schemas()
+
+
+@pytest.mark.parametrize("module, query, mart", [
+    (mart_queries, "m08", marts.trade_commodity), (mart_queries, "m09", marts.trade_partner),
+])
+def test_ranked_trade_queries_sum_the_fact_once(spark, trade_star, monkeypatch, module, query, mart):
+    star = replace(trade_star, fact=materialize(trade_star.fact, "fact"))
+    monkeypatch.setattr(module, "trade_star", lambda *_: star)
+    ranked = getattr(module, query)(spark, "")
+    # What is left to read are the stored sums.
+    assert ranked.inputFiles() and not set(ranked.inputFiles()) & set(star.fact.inputFiles())
+    if mart is not None:
+        assert sorted(rows(ranked)) == sorted(rows(mart(star)))

@@ -62,3 +62,13 @@ def test_no_job_runs_while_the_plan_is_built(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, v int")
     assert rank_desc(df, ["g"], "v", "rank").count() == 0
+
+
+def test_slots_are_found_inside_codegen(spark):
+    df = spark.createDataFrame(sample(50, 0.5), "g string, v int, i int")
+    plan = rank_desc(df, ["g"], "v", "rank")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    nan = float("nan")
+    data = [("a", v, i) for i, v in enumerate([nan, 2.0, None, -0.0, 0.0, nan, float("inf"), -1.5])]
+    ranked = rank_desc(spark.createDataFrame(data, "g string, v double, i int"), ["g"], "v", "rank", 4)
+    assert dict(rows(ranked, "i", "rank")) == {2: 1, 0: 2, 5: 2, 6: 4, 1: 5, 3: 6, 4: 6, 7: 8}
