@@ -237,7 +237,7 @@ def r07(spark, sf_dir):
     ORDER BY year DESC, commodity_rank, trade_flow, product_code LIMIT {LIMIT}""",
 )
 def r08(spark, sf_dir):
-    mart = marts.trade_commodity(trade_star(spark, sf_dir))
+    mart = marts.trade_commodity(trade_star(spark, sf_dir), materialize)
     return serving.top_commodities(mart, trade_flow="Ekspor", limit=LIMIT)
 
 
@@ -248,7 +248,7 @@ def r08(spark, sf_dir):
     ORDER BY year DESC, partner_rank, trade_flow, country_code LIMIT {LIMIT}""",
 )
 def r09(spark, sf_dir):
-    mart = marts.trade_partner(trade_star(spark, sf_dir))
+    mart = marts.trade_partner(trade_star(spark, sf_dir), materialize)
     return serving.top_partners(mart, year=YEAR, limit=LIMIT)
 
 

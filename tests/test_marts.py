@@ -11,7 +11,7 @@ from lumbung.operators import model, staging
 from lumbung.operators.load import Warehouse
 from lumbung.plans import analytics, marts, serving
 from lumbung.schemas import EconomicStar, TradeStar
-from registry import mart_queries
+from registry import mart_queries, serving_queries
 
 
 def star_of(spark, data, methods=None):
@@ -249,6 +249,7 @@ def test_a_year_of_a_stored_mart_reads_its_partition(spark, tmp_path):
 
 
 @pytest.mark.parametrize("module, query, mart", [
+    (serving_queries, "r08", None), (serving_queries, "r09", None),
     (mart_queries, "m08", marts.trade_commodity), (mart_queries, "m09", marts.trade_partner),
 ])
 def test_ranked_trade_queries_sum_the_fact_once(spark, trade_star, monkeypatch, module, query, mart):
